@@ -47,7 +47,7 @@ ABBREVIATIONS = {
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
 
 _TIME = r"(\d{1,2}):(\d{2})(?::(\d{2})(?:[.,]\d+)?)?"
-_AMPM = r"(?:\s*([AaPp])\.?[Mm]\.?)?"
+_AMPM = r"(?:\s*([AaPp])\.?[Mm]\.?(?![A-Za-z]))?"
 _ZONE = r"(?:\s*([Zz]|[A-Z]{2,5}|[+-]\d{2}(?::?\d{2})?))?(?:\s*\[?([A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)\]?)?"
 _AT = rf"(?:,?[Tt\s]\s*{_TIME}{_AMPM}{_ZONE})?"
 #: Notation, pattern, and the order in which its groups give y, mo, d, h, mi, s, am/pm, offset, zone.
