@@ -54,7 +54,7 @@ _P4 = """
 with v as (select seq, coalesce(nullif(dataset_id,''), doi) r, citation_link l from citations),
 k as (select seq, regexp_replace(lower(r), '[^\\p{L}\\p{N}]', '', 'g') rk,
   regexp_replace(lower(split_part(l, '?', 1)), '[^\\p{L}\\p{N}]', '', 'g') || case when contains(l, '?') then
-  array_to_string(list_sort(list_transform(string_split(substr(l, strpos(l, '?') + 1), '&'), x -> regexp_replace(lower(x), '[^\\p{L}\\p{N}]', '', 'g'))), '') else '' end lk from v),
+  array_to_string(list_sort(list_transform(string_split(substr(l, strpos(l, '?') + 1), '&'), lambda x: regexp_replace(lower(x), '[^\\p{L}\\p{N}]', '', 'g'))), '') else '' end lk from v),
 g as (select seq, min(seq) over (partition by rk, lk) first from k where rk <> '' and lk <> '')
 """
 ORACLE: dict[str, str] = {
