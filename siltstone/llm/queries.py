@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.collapse import collapse, copies, letters_and_digits, link_letters_and_digits
 from siltstone.llm.language import document_languages, fit_languages, language_segments, normal_label_column
+from siltstone.llm.leakage import leaked_items
 from siltstone.llm.packing import pack, token_sizes
 from siltstone.runtime import read_table
 
@@ -35,6 +36,14 @@ def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     return pack(sizes).withColumnRenamed("key", "doc_id")
 
 
+def p8_passages(spark: SparkSession, d: str) -> DataFrame:
+    return leaked_items(read_table(spark, d, "documents"), read_table(spark, d, "eval_items"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_passages(spark, d).select("doc_id", "item_id")
+
+
 def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents")
     return language_segments(docs, fit_languages(docs)).withColumnRenamed("key", "doc_id")
@@ -48,7 +57,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return by_doc.join(label, "key").where(wrong).select(F.col("key").alias("doc_id"), "lang")
 
 
-QUERIES: dict[str, Query] = {"p4_found": p4_found, "p4_collapsed": p4_collapsed, "p7_pack": p7_pack, "p9_found": p9_found, "p9_segments": p9_segments}
+QUERIES: dict[str, Query] = {"p4_found": p4_found, "p4_collapsed": p4_collapsed, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
 
 _P4 = """
 with v as (select seq, coalesce(nullif(dataset_id,''), doi) r, citation_link l from citations),
