@@ -8,14 +8,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.collapse import collapse, copies, letters_and_digits, link_letters_and_digits
+from siltstone.llm.encoding import garbled_texts
 from siltstone.llm.language import document_languages, fit_languages, language_segments, normal_label_column
 from siltstone.llm.leakage import leaked_items
 from siltstone.llm.packing import pack, token_sizes
+from siltstone.operators.flatten import flatten_creators
 from siltstone.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p3_restored(spark: SparkSession, d: str) -> DataFrame:
+    titles = read_table(spark, d, "dataset").select(F.concat(F.lit("dataset/"), F.coalesce("source", F.lit(""))).alias("source"), "id", F.lit(-1).alias("pos"), F.col("title").alias("text"))
+    raw = read_table(spark, d, "raw_datacite")
+    names = flatten_creators(raw).where("child = 'creator'").select(F.lit("raw_datacite/").alias("source"), F.col("key").alias("id"), F.col("creator_pos").alias("pos"), F.col("name").alias("text"))
+    found = garbled_texts(titles.unionByName(names))
+    return found.select(F.when(F.col("pos") < 0, "dataset").otherwise("raw_datacite").alias("tab"), F.col("id").alias("row_key"), F.col("pos").alias("creator_pos"), "text", "restored", "written_in", "read_in")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return p3_restored(spark, d).select("tab", "row_key", "creator_pos").distinct()
+
+
 def _citations(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
     given = F.coalesce(F.nullif("dataset_id", F.lit("")), F.col("doi")).alias("reference")
     return read_table(spark, d, "citations").select("seq", given, "citation_link"), {"reference": letters_and_digits, "citation_link": link_letters_and_digits}
@@ -57,7 +71,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return by_doc.join(label, "key").where(wrong).select(F.col("key").alias("doc_id"), "lang")
 
 
-QUERIES: dict[str, Query] = {"p4_found": p4_found, "p4_collapsed": p4_collapsed, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_collapsed": p4_collapsed, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
 
 _P4 = """
 with v as (select seq, coalesce(nullif(dataset_id,''), doi) r, citation_link l from citations),
