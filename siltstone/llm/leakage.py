@@ -81,8 +81,14 @@ class Items:
     own: list[np.ndarray]
     vocabulary: dict[str, int]
     shingles: np.ndarray = field(init=False)
+    #: Vocabulary number to the items that have it as an own word.
+    owners: dict[int, list[int]] = field(init=False)
 
     def __post_init__(self) -> None:
+        self.owners = defaultdict(list)
+        for k, (w, own) in enumerate(zip(self.words, self.own)):
+            for x in set(w[own].tolist()):
+                self.owners[x].append(k)
         every = [self.keys(w) for w in self.words]
         self.shingles = np.unique(np.concatenate(every)) if every else np.zeros(0, np.int64)
 
@@ -119,6 +125,8 @@ def _stretches(at: np.ndarray, n: int) -> list[tuple[int, int, int]]:
 def shared_stretches(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
     vocabulary, shingles = items.vocabulary, items.shingles
     docs_with = np.zeros(len(shingles), np.int64)
+    owned = np.zeros(len(vocabulary) + 1, bool)
+    owned[list(items.owners)] = True
     for b in batches:
         keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         lo = 0
@@ -148,7 +156,7 @@ def shared_stretches(batches: Iterator[pa.RecordBatch], items: Items) -> Iterato
                     d = int(doc[part[0]])
                     mine = ids[starts[d] : ends[d]]
                     for x, y, n_hits in _stretches(whole[part] - starts[d], len(mine)):
-                        if n_hits >= LEAST_SHARED:
+                        if n_hits >= LEAST_SHARED and owned[mine[x:y]].any():
                             out_doc.append(keys[lo + d])
                             out_words.append(mine[x:y].astype(np.int32))
             if out_doc:
@@ -160,21 +168,17 @@ def shared_stretches(batches: Iterator[pa.RecordBatch], items: Items) -> Iterato
         yield pa.RecordBatch.from_arrays([none, pa.nulls(len(seen), pa.list_(pa.int32())), pa.array(seen, pa.int32()), pa.array(docs_with[seen])], schema=_HITS_ARROW)
 
 
-def prefix_index(items: Items, docs_with: np.ndarray) -> dict[int, list[int]]:
-    """Shingle to items: of each window the rarest shingles, as many as must share
-    one with any passage that leaves LEAST_SHARED of them whole."""
-    index: dict[int, set[int]] = defaultdict(set)
+def prefix_shingles(items: Items, docs_with: np.ndarray) -> list[set[int]]:
+    """Of each item, the rarest shingles of each of its windows: as many as must
+    share one with any passage that leaves LEAST_SHARED of them whole."""
     per_window = WINDOW - SHINGLE + 1
     take = per_window - LEAST_SHARED + 1
-    for k, w in enumerate(items.words):
+    out = []
+    for w in items.words:
         at = np.searchsorted(items.shingles, items.keys(w))
-        if len(at) < per_window:
-            continue
-        order = docs_with[at] * 1.0 + at / (len(items.shingles) + 1)
-        for i in range(len(at) - per_window + 1):
-            for j in np.argsort(order[i : i + per_window], kind="stable")[:take]:
-                index[int(at[i + j])].add(k)
-    return {s: sorted(ks) for s, ks in index.items()}
+        order = docs_with[at] + at / (len(items.shingles) + 1)
+        out.append({int(at[i + j]) for i in range(len(at) - per_window + 1) for j in np.argsort(order[i : i + per_window], kind="stable")[:take]})
+    return out
 
 
 def passage(doc: np.ndarray, item: np.ndarray, own: np.ndarray) -> tuple[int, int]:
@@ -242,8 +246,8 @@ def _longest(d: np.ndarray, i: np.ndarray, own: np.ndarray) -> tuple[int, int]:
 _FOUND = "doc_id long, item_id long, n_words int, n_altered int"
 
 
-def _verify(batches: Iterator[pa.RecordBatch], items: Items, index: dict[int, list[int]]) -> Iterator[pa.RecordBatch]:
-    n_shingles = len(items.shingles)
+def _verify(batches: Iterator[pa.RecordBatch], items: Items, prefix: list[set[int]]) -> Iterator[pa.RecordBatch]:
+    n_shingles, owners = len(items.shingles), items.owners
     own = [set(np.searchsorted(items.shingles, items.keys(w)).tolist()) for w in items.words]
     for b in batches:
         out = []
@@ -255,12 +259,12 @@ def _verify(batches: Iterator[pa.RecordBatch], items: Items, index: dict[int, li
             ok &= (at < n_shingles) & (items.shingles[np.minimum(at, n_shingles - 1)] == keys)
             places = np.flatnonzero(ok)
             shingles = at[places].tolist()
-            near: dict[int, list[int]] = defaultdict(list)
-            for k in {k for s in set(shingles) for k in index.get(s, ())}:
-                near[k] = [p for p, s in zip(places.tolist(), shingles) if s in own[k]]
-            for k, at_places in near.items():
-                if len(at_places) < LEAST_SHARED:
+            there = set(shingles)
+            # A passage keeps one of the item's own words at least, besides its shingles.
+            for k in {k for x in set(words) for k in owners.get(x, ())}:
+                if len(there & own[k]) < LEAST_SHARED or there.isdisjoint(prefix[k]):
                     continue
+                at_places = [p for p, s in zip(places.tolist(), shingles) if s in own[k]]
                 lo, hi = max(0, at_places[0] - WINDOW), at_places[-1] + SHINGLE + WINDOW
                 length, errors = passage(w[lo:hi], items.words[k], items.own[k])
                 if length:
@@ -292,7 +296,7 @@ def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: s
         docs_with = np.zeros(len(block.shingles), np.int64)
         for r in hits.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n")).collect():
             docs_with[r["shingle"]] = r["n"]
-        index = spark.sparkContext.broadcast(prefix_index(block, docs_with))
+        index = spark.sparkContext.broadcast(prefix_shingles(block, docs_with))
         part = hits.where("doc is not null").select("doc", "words").mapInArrow(lambda it, s=sent, x=index: _verify(it, s.value, x.value), _FOUND)
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", "n_altered")).alias("x")).select("doc_id", "item_id", "x.n_words", "x.n_altered")
