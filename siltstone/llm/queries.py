@@ -11,6 +11,7 @@ from siltstone.llm.collapse import collapse, copies, letters_and_digits, link_le
 from siltstone.llm.encoding import garbled_texts
 from siltstone.llm.language import document_languages, fit_languages, language_segments, normal_label_column
 from siltstone.llm.leakage import leaked_items
+from siltstone.llm.names import resolve_organisations, resolve_persons, same_entity_pairs
 from siltstone.llm.packing import pack, token_sizes
 from siltstone.operators.flatten import flatten_creators
 from siltstone.runtime import read_table
@@ -45,6 +46,30 @@ def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return collapse(c, "seq", fields).select(F.col("first").alias("seq"), F.col("copies").alias("n_copies"))
 
 
+def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    rows = flatten_creators(read_table(spark, d, "raw_datacite"))
+    creators = rows.where("child = 'creator'")
+    is_org = F.coalesce(F.col("name_type") == "Organizational", F.lit(False))
+    orgs = (
+        creators.where(is_org).select("name")
+        .unionByName(rows.where("child = 'affiliation'").select(F.col("value").alias("name")))
+        .unionByName(read_table(spark, d, "automated_organization").select("name"))
+    )
+    return creators.where(~is_org).select("name"), orgs
+
+
+def p6_entities(spark: SparkSession, d: str) -> DataFrame:
+    persons, orgs = _names(spark, d)
+    return resolve_persons(persons).withColumn("kind", F.lit("person")).unionByName(resolve_organisations(orgs).withColumn("kind", F.lit("org")))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    persons, orgs = _names(spark, d)
+    a = same_entity_pairs(resolve_persons(persons)).withColumn("kind", F.lit("person"))
+    b = same_entity_pairs(resolve_organisations(orgs)).withColumn("kind", F.lit("org"))
+    return a.unionByName(b).select("kind", "name_a", "name_b")
+
+
 def p7_pack(spark: SparkSession, d: str) -> DataFrame:
     sizes = token_sizes(read_table(spark, d, "documents"), "doc_id", "text")
     return pack(sizes).withColumnRenamed("key", "doc_id")
@@ -71,7 +96,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return by_doc.join(label, "key").where(wrong).select(F.col("key").alias("doc_id"), "lang")
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_collapsed": p4_collapsed, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_collapsed": p4_collapsed, "p6_found": p6_found, "p6_entities": p6_entities, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
 
 _P4 = """
 with v as (select seq, coalesce(nullif(dataset_id,''), doi) r, citation_link l from citations),
