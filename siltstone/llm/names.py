@@ -91,7 +91,10 @@ def person_parts(name: str) -> tuple[str, str, list[str], bool] | None:
     if is_placeholder(name):
         return None
     name = re.sub(r"[�]", "", name)
-    parts = [[w for w in _WORD.findall(p) if fold(w) not in TITLES] for p in name.split(",")]
+    parts = [_WORD.findall(p) for p in name.split(",")]
+    # Two capitals behind a lone family name are initials, whatever title they spell.
+    bare = len(parts) == 1 and len(parts[0]) == 2 and len(parts[0][1]) <= 3 and parts[0][1].isupper() and not parts[0][0].isupper()
+    parts = [p if bare else [w for w in p if fold(w) not in TITLES] for p in parts]
     parts = [p for p in parts if p]
     if not parts:
         return None
@@ -295,8 +298,12 @@ def resolve_organisations(names: DataFrame, common_share: float = 0.004, tail_sh
     w = w.join(lexicon.withColumn("common", F.lit(True)), "word", "left")
     sig = w.groupBy("name").agg(
         F.concat_ws(" ", F.array_sort(F.collect_set(F.when(F.col("common"), F.col("word"))))).alias("what"),
-        F.concat_ws(" ", F.array_sort(F.collect_set(F.when(F.col("common").isNull(), F.col("word"))))).alias("where_"),
+        F.array_sort(F.collect_set(F.when(F.col("common").isNull(), F.col("word")))).alias("rare"),
+        F.first("last").alias("last"),
     )
+    # Behind the place, one more rare word after the last comma only says where the place is.
+    place = F.when(F.size("rare") > 1, F.array_except("rare", F.array("last"))).otherwise(F.col("rare"))
+    sig = sig.select("name", "what", F.concat_ws(" ", place).alias("where_"))
     sig = materialise(sig, "organisation-parts")
     tokens = sig.groupBy(F.col("where_").alias("token"), F.col("what").alias("context")).agg(F.count("*").alias("n"))
     roots = _resolve(tokens).select(F.col("token").alias("where_"), F.col("context").alias("what"), "root")
