@@ -68,12 +68,13 @@ def canonical_identifier(ids: Column) -> Column:
     return F.coalesce(F.try_element_at(F.filter(ids, is_orcid), F.lit(1)), F.try_element_at(ids, F.lit(1)))
 
 
-def strip_parentheses(c: Column, depth: int = 4) -> Column:
-    """Without parentheses around the whole, taken off up to depth times."""
-    c = strip(c)
-    for _ in range(depth):
-        c = F.when(c.rlike(r"(?s)^\(.*\)$"), strip(F.regexp_replace(c, r"(?s)^\((.*)\)$", "$1"))).otherwise(c)
-    return c
+def strip_parentheses(c: Column) -> Column:
+    """Without parentheses around the whole, as long as it opens and closes with one."""
+    s = strip(c)
+    n = lambda run: F.length(F.regexp_replace(run, r"[^()]", ""))
+    k = F.least(n(F.regexp_extract(s, rf"^((?:\({SPACE}*)*)", 1)), n(F.regexp_extract(s, rf"((?:{SPACE}*\))*)$", 1))).cast("string")
+    opened = F.regexp_replace(s, F.concat(F.lit(rf"^(?:\({SPACE}*){{"), k, F.lit("}")), F.lit(""))
+    return F.regexp_replace(opened, F.concat(F.lit(rf"(?:{SPACE}*\)){{"), k, F.lit("}$")), F.lit(""))
 
 
 def affiliations(a: Column) -> Column:
@@ -116,7 +117,8 @@ def main_identifier(ids: Column) -> Column:
 
 def iso_timestamp(c: Column) -> Column:
     """The instant of an ISO text, UTC without zone; null if it is none."""
-    return F.when(c.rlike(ISO), F.try_to_timestamp(c))
+    with_seconds = F.regexp_replace(c, r"^(.{16})(?=$|[Z+-])", "$1:00")
+    return F.when(c.rlike(ISO), F.try_to_timestamp(with_seconds))
 
 
 def iso_timestamp_or(c: Column, default: Column) -> Column:

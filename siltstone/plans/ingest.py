@@ -25,7 +25,7 @@ def ingest(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = r.where(F.size("ids") > 0)
     text = lambda c: clean_string(F.col(c)).alias(c)
     datasets = good.select(
-        F.col("seq").alias("id"), text("source"), F.col("ids")[0]["identifier"].alias("identifier"), F.col("ids")[0]["identifierType"].alias("identifierType"),
+        F.col("seq").alias("id"), text("source"), F.get("ids", F.lit(0))["identifier"].alias("identifier"), F.get("ids", F.lit(0))["identifierType"].alias("identifierType"),
         F.coalesce("title", F.lit("")).alias("title"), text("description"), text("version"), text("publisher"), or_default(clean_string(F.col("publisher_id")), F.lit("unknown")).alias("publisherId"),
         published_at(F.coalesce("publication_date", F.lit(""))).alias("publishedAt"), F.coalesce(safe_int(F.col("pubyear")), F.lit(0)).alias("pubYear"), "subjects", "creators", "ids",
     )

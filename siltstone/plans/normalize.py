@@ -38,7 +38,7 @@ def normalization_factors(requests: DataFrame, norms: DataFrame, last_year: int
     grid = _by_year(norms, last_year)
     own = grid.where(F.col("subfield_id") != DEFAULT).select(F.col("subfield_id").alias("subfield"), "year", F.struct("matched", "ft", "ctw", "mtw").alias("own"))
     rest = grid.where(F.col("subfield_id") == DEFAULT).select("year", F.struct("matched", "ft", "ctw", "mtw").alias("rest"))
-    r = requests.withColumn("subfield", F.coalesce(F.nullif("subfield", F.lit("")), F.lit(DEFAULT))).withColumn("asked", F.col("year")).withColumn("year", F.least("year", F.lit(last_year)))
+    r = requests.withColumn("subfield", F.coalesce(F.nullif("subfield", F.lit("")), F.lit(DEFAULT))).withColumn("asked", F.col("year")).withColumn("year", F.when(F.col("year") > last_year, last_year).otherwise(F.col("year")))
     j = r.join(own, ["subfield", "year"], "left").join(rest, "year", "left")
     hit = F.coalesce("own", "rest")
     method = F.when(hit.isNull(), F.lit(None)).when(F.col("own").isNull(), "Default").when(F.col("own.matched") == F.col("asked"), "Exact Year").otherwise("Closest Past Year")

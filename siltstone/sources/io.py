@@ -35,7 +35,7 @@ def natural_order() -> list:
 def read_ndjson(spark: SparkSession, paths: str | Iterable[str], schema: T.StructType | str, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
     """Records and broken lines of a file, a directory, or several of which some may be missing.
 
-    Records carry file and row, their place in the export; empty lines are
+    Records carry file and row, which grows within a file; empty lines are
     nothing. With fail_fast a broken line ends the job. Declare scalars of
     uncertain type as strings and cast them with try_cast: a value of another
     type makes its line a broken one.
@@ -45,14 +45,10 @@ def read_ndjson(spark: SparkSession, paths: str | Iterable[str], schema: T.Struc
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     if not here:
         empty = spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("file", T.StringType()), T.StructField("row", T.LongType())]))
-        return empty, spark.createDataFrame([], f"file string, line string")  # noqa: F541
-    reader = spark.read.schema(schema if fail_fast else full).option("mode", "FAILFAST" if fail_fast else "PERMISSIVE")
-    if not fail_fast:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    text = spark.read.text(here).select(F.col("value"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("start"))
+        return empty, spark.createDataFrame([], "file string, line string")
     options = {"mode": "FAILFAST" if fail_fast else "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    order = F.monotonically_increasing_id()
-    lines = text.withColumn("row", order).where(F.trim("value") != "")
+    text = spark.read.text(here).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row"))
+    lines = text.where(F.trim("value") != "")
     parsed = lines.withColumn("j", F.from_json("value", schema if fail_fast else full, options))
     if fail_fast:
         return parsed.select("j.*", "file", "row"), spark.createDataFrame([], "file string, line string")
