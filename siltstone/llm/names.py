@@ -28,6 +28,8 @@ from siltstone.runtime import materialise
 
 LEAST_RATIO = 0.8
 LEAST_TOKEN = 5
+#: A given name is a slip for one that so many times as many families have.
+COMMONER = 10
 #: A token in more spellings than this on both sides is no slip of the other.
 SLIP_SPELLINGS = 2
 
@@ -132,11 +134,12 @@ def _shapes(token: str) -> list[str]:
     return sorted({f"{token[:p]} {token[p + g :]}" for g in (1, 2) for p in range(n - g + 1) if n - g >= 3})
 
 
-def slips(tokens: DataFrame, spellings: str = "n") -> DataFrame:
-    """(token, context, n) -> (context, a, b): tokens of one context, a < b, of
-    which one may be a slip for the other: at most one letter apart, common
-    subsequence at least LEAST_RATIO, and not both in more than SLIP_SPELLINGS
-    spellings. Tokens shorter than LEAST_TOKEN letters are never slips."""
+def slips(tokens: DataFrame, both_common: bool = False) -> DataFrame:
+    """(token, context, n) -> (context, x, y, nx, ny): tokens of one context of
+    which x may be a slip for y, at most one letter apart and with a common
+    subsequence of at least LEAST_RATIO; x comes in no more than SLIP_SPELLINGS
+    spellings (n) unless both_common. Tokens shorter than LEAST_TOKEN letters are
+    never slips."""
 
     def keys(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
@@ -145,17 +148,15 @@ def slips(tokens: DataFrame, spellings: str = "n") -> DataFrame:
 
     def alike(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            ok = [ratio(a, b) >= LEAST_RATIO for a, b in zip(p["a"], p["b"])]
+            ok = [ratio(a, b) >= LEAST_RATIO for a, b in zip(p["x"], p["y"])]
             yield p[pd.Series(ok, index=p.index, dtype=bool)]
 
-    t = tokens.where(F.length("token") >= LEAST_TOKEN).select("token", "context", F.col(spellings).alias("n"))
-    k = t.mapInPandas(keys, "token string, context string, n long, shape string")
-    k = materialise(k, "token-shapes")
-    few = F.col("n") <= SLIP_SPELLINGS
-    weak = k.where(few).select("context", "shape", F.col("token").alias("x"))
-    pairs = weak.join(k.select("context", "shape", F.col("token").alias("y")), ["context", "shape"]).where("x <> y")
-    pairs = pairs.select("context", F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    return pairs.mapInPandas(alike, "context string, a string, b string")
+    t = tokens.where(F.length("token") >= LEAST_TOKEN).select("token", "context", "n")
+    k = materialise(t.mapInPandas(keys, "token string, context string, n long, shape string"), "token-shapes")
+    weak = k if both_common else k.where(F.col("n") <= SLIP_SPELLINGS)
+    weak = weak.select("context", "shape", F.col("token").alias("x"), F.col("n").alias("nx"))
+    pairs = weak.join(k.select("context", "shape", F.col("token").alias("y"), F.col("n").alias("ny")), ["context", "shape"]).where("x <> y").drop("shape").distinct()
+    return pairs.select("context", "x", "y", "nx", "ny").mapInPandas(alike, "context string, x string, y string, nx long, ny long")
 
 
 def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
@@ -175,12 +176,21 @@ def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
 
 
 def _resolve(tokens: DataFrame) -> DataFrame:
-    """(token, context, n) -> (token, context, root): one token for each set of slips."""
+    """(token, context, n) -> (token, context, root): one token for each set of slips.
+
+    A rare token goes to the commonest token that it may be a slip for, so two
+    common ones are never joined by a slip between them; rare ones without such a
+    neighbour go together.
+    """
     node = lambda c, t: F.concat_ws("\x1f", c, t)
-    edges = slips(tokens).select(node("context", "a").alias("a"), node("context", "b").alias("b"))
-    roots = components(edges)
-    joined = tokens.withColumn("node", node("context", "token")).join(roots, "node", "left")
-    return joined.select("token", "context", F.coalesce(F.element_at(F.split("root", "\x1f"), 2), "token").alias("root"))
+    pairs = materialise(slips(tokens), "slips")
+    to_common = pairs.where(F.col("ny") > SLIP_SPELLINGS).groupBy("context", "x").agg(F.max_by("y", F.struct("ny", "y")).alias("y"))
+    lone = pairs.where(F.col("ny") <= SLIP_SPELLINGS).join(to_common.select("context", "x"), ["context", "x"], "left_anti").join(to_common.select("context", F.col("x").alias("y")), ["context", "y"], "left_anti")
+    roots = components(lone.select(node("context", "x").alias("a"), node("context", "y").alias("b")))
+    of_rare = roots.select("node", F.element_at(F.split("root", "\x1f"), 2).alias("rare_root"))
+    of_slip = to_common.select(node("context", "x").alias("node"), F.col("y").alias("common_root"))
+    joined = tokens.withColumn("node", node("context", "token")).join(of_rare, "node", "left").join(of_slip, "node", "left")
+    return joined.select("token", "context", F.coalesce("common_root", "rare_root", "token").alias("root"))
 
 
 def _restored(names: DataFrame) -> DataFrame:
@@ -222,15 +232,8 @@ def resolve_persons(names: DataFrame) -> DataFrame:
     known = sure.select("name", F.col("one").alias("family"), F.element_at(F.split(F.coalesce("two", F.lit("")), " "), 1).alias("given"), "initial").unionByName(settled)
     # Slips in given names: rare ones against common ones.
     known = known.withColumn("given", _pet(F.col("given")))
-    given = known.where("given <> ''").groupBy(F.col("given").alias("token")).agg(F.countDistinct("family").alias("n"))
-    given = given.withColumn("context", F.lit("given")).withColumn("n", F.when(F.col("n") >= 5, F.col("n")).otherwise(0))
-    pair = slips(given)
-    weight = given.select("token", "n")
-    to = (
-        pair.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pair.select(F.col("b").alias("x"), F.col("a").alias("y")))
-        .join(weight.select(F.col("token").alias("y"), F.col("n").alias("ny")), "y").join(weight.select(F.col("token").alias("x"), F.col("n").alias("nx")), "x")
-        .where("ny > 0 and nx = 0").groupBy(F.col("x").alias("given")).agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
-    )
+    given = known.where("given <> ''").groupBy(F.col("given").alias("token")).agg(F.countDistinct("family").alias("n")).withColumn("context", F.lit("given"))
+    to = slips(given, both_common=True).where(F.col("ny") >= F.col("nx") * COMMONER).groupBy(F.col("x").alias("given")).agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
     known = known.join(to, "given", "left").withColumn("given", F.coalesce("better", "given")).drop("better")
     # Pet forms that several given names share keep an open place: the family decides.
     shared = {k: v for k, v in _PETS.items() if len(v) > 1}
@@ -249,7 +252,9 @@ def resolve_persons(names: DataFrame) -> DataFrame:
     lonely = at.where("size(could_be) = 0 and n_full is null").select("name", F.concat_ws("|", "root", F.concat("start", F.lit("."))).alias("entity"))
     by_pet = at.where("size(could_be) > 1 and n_full = 1 and array_contains(could_be, only)").select("name", F.concat_ws("|", "root", "only").alias("entity"))
     only_once = by_pet.groupBy("name").agg(F.count("*").alias("k"), F.min("entity").alias("entity")).where("k = 1").drop("k")
-    return exact.unionByName(by_initial).unionByName(lonely).unionByName(only_once).distinct()
+    open_pet = at.where("size(could_be) > 1 and start = substring(could_be[0], 1, 1)").join(only_once.select("name"), "name", "left_anti")
+    open_pet = open_pet.select("name", F.concat_ws("|", "root", F.col("could_be")[0]).alias("entity"))
+    return exact.unionByName(by_initial).unionByName(lonely).unionByName(only_once).unionByName(open_pet).distinct()
 
 
 _ORG = "name string, words array<string>, last string"
@@ -290,10 +295,7 @@ def resolve_organisations(names: DataFrame, common_share: float = 0.004, tail_sh
     lexicon = stats.where(F.col("word").isin(whole) | (F.col("n") >= F.greatest(F.lit(20), F.lit(total * common_share)))).join(tails, "word", "left_anti").select("word")
     # Slips in common words.
     lex = stats.join(lexicon.withColumn("known", F.lit(True)), "word", "left").select(F.col("word").alias("token"), F.lit("word").alias("context"), F.when(F.col("known"), F.lit(1_000_000)).otherwise(F.lit(0)).cast("long").alias("n"))
-    pair = slips(lex)
-    known = lexicon.select(F.col("word").alias("y"))
-    both = pair.select(F.col("a").alias("x"), F.col("b").alias("y")).unionByName(pair.select(F.col("b").alias("x"), F.col("a").alias("y")))
-    better = both.join(known, "y", "left_semi").join(known.withColumnRenamed("y", "x"), "x", "left_anti").groupBy(F.col("x").alias("word")).agg(F.min("y").alias("better"))
+    better = slips(lex).where("ny >= 1000000").groupBy(F.col("x").alias("word")).agg(F.min("y").alias("better"))
     w = words.join(tails, "word", "left").where("is_tail is null").join(better, "word", "left").withColumn("word", F.coalesce("better", "word"))
     w = w.join(lexicon.withColumn("common", F.lit(True)), "word", "left")
     sig = w.groupBy("name").agg(
