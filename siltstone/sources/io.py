@@ -94,7 +94,7 @@ def write_ndjson(df: DataFrame, path: str, rows_per_file: int = 10_000, mode: st
 def write_tsv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Texts without tabs and line breaks, doubles with two decimals."""
     cols = [F.format_string("%.2f", c).alias(c) if t in ("double", "float") else tsv_escape(F.col(c).cast("string")).alias(c) for c, t in df.dtypes]
-    df.select(*cols).write.mode(mode).option("header", True).option("sep", "\t").option("quote", "").csv(path)
+    df.select(*cols).write.mode(mode).option("header", True).option("sep", "\t").option("quote", "").option("emptyValue", "").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
