@@ -74,10 +74,9 @@ def encode_records(df: DataFrame, key: str, fields: dict[str, Canonical]) -> Dat
         for b in batches:
             cols = [_ids(b.column(i + 1), c) for i, c in enumerate(canon)]
             there = np.logical_and.reduce([ok for _, ok in cols])
-            tuples = np.stack([ids.view(np.uint8).reshape(-1, 16) for ids, _ in cols], axis=1)[there].reshape(int(there.sum()), -1)
-            width = tuples.shape[1] if len(tuples) else 0
-            raw = tuples.tobytes()
-            folded = b"".join(xxhash.xxh3_128_digest(raw[i : i + width]) for i in range(0, len(raw), width)) if width else b""
+            tuples = np.stack([ids.view(np.uint8).reshape(-1, 16) for ids, _ in cols], axis=1)[there]
+            raw, width = tuples.tobytes(), 16 * len(cols)
+            folded = b"".join(xxhash.xxh3_128_digest(raw[i : i + width]) for i in range(0, len(raw), width))
             two = np.frombuffer(folded, "<i8").reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(there)).cast(pa.int64()), pa.array(two[:, 0]), pa.array(two[:, 1])], names=["key", "hi", "lo"])
 

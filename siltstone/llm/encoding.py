@@ -39,6 +39,8 @@ FIRST_SHARE = 1e-3
 #: Sources with learned shares of their own; smaller ones beyond that number use those of all.
 OWN_SHARES = 10_000
 _FLOOR = 0.02
+#: What a text that some UTF-8 cipher explains counts as clean at first.
+_DOUBTFUL = 0.05
 _UNIT = re.compile(r"[^\x00-\x7f]+")
 #: Characters that only a wrong decoding leaves.
 _CERTAIN = re.compile("[\x80-\x9f�]")
@@ -183,9 +185,9 @@ def _count(batches: Iterator[pa.RecordBatch], reader: Reader | None) -> Iterator
             garbled = bool(_CERTAIN.search(text))
             weight = 0.0 if garbled else 1.0
             if reader is None:
-                # At first only what no UTF-8 cipher explains counts as clean.
+                # At first what a UTF-8 cipher explains hardly counts as clean.
                 if weight and any(read_as(text[s:e], (("utf-8", w),)) for s, e, _, _ in units(text) if e - s > 1 for w in ("cp1252", "cp1251", "cp437", "koi8-r", "mac_roman", "gbk")):
-                    weight = 0.0
+                    weight = _DOUBTFUL
                 best, changes = -1, []
             else:
                 best, odds, changes = reader.judge(source or "", text)

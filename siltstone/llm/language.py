@@ -37,6 +37,7 @@ _CODE = re.compile(
     re.S | re.M,
 )
 _BREAK = re.compile(r"\n[\s>]*\n")
+_QUOTED = re.compile(r"^[\s>]+", re.M)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Marks of code that stands between prose without any notation.
 _CODELIKE = re.compile(r"[=;{}()\[\]<>|$\\]|\w_\w|\w\.\w+\(|--\w|::|->")
@@ -67,7 +68,7 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
         start = masked.index(part, at) if part else at
         at = start + len(part)
         words = _WORD.findall(part.lower())
-        if words and len(_CODELIKE.findall(part)) * 4 < len(words):
+        if words and len(_CODELIKE.findall(_QUOTED.sub("", part))) * 4 < len(words):
             yield start, at, words
 
 

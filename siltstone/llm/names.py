@@ -244,6 +244,15 @@ def resolve_persons(names: DataFrame) -> DataFrame:
     fam = opened.groupBy(F.col("family").alias("token"), F.col("start").alias("context")).agg(F.countDistinct("name").alias("n"))
     roots = _resolve(fam).select(F.col("token").alias("family"), F.col("context").alias("start"), "root")
     r = materialise(opened.join(roots, ["family", "start"]), "person-roots")
+    # Given names of one family that are a slip apart are one.
+    fulls = r.where("size(could_be) = 1").groupBy(F.concat_ws("\x1f", "root", "start").alias("context"), F.col("could_be")[0].alias("token")).agg(F.countDistinct("name").alias("n"))
+    fulls = fulls.join(fulls.groupBy("context").agg(F.count("*").alias("k")).where("k > 1").select("context"), "context")
+    same = slips(fulls, both_common=True).where("struct(ny, y) > struct(nx, x)").groupBy("context", "x").agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
+    same = same.select(F.col("context").alias("family_context"), F.col("x").alias("slip"), "better")
+    alone = F.when(F.size("could_be") == 1, F.try_element_at("could_be", F.lit(1)))
+    r = r.withColumn("family_context", F.concat_ws("\x1f", "root", "start")).withColumn("slip", alone).join(same, ["family_context", "slip"], "left")
+    r = r.withColumn("could_be", F.when(F.col("better").isNotNull(), F.array("better")).otherwise(F.col("could_be"))).select("name", "could_be", "start", "root")
+    r = materialise(r, "person-givens")
     full = r.where("size(could_be) = 1").select("root", "start", F.col("could_be")[0].alias("full")).distinct()
     n_full = full.groupBy("root", "start").agg(F.count("*").alias("n_full"), F.min("full").alias("only"))
     at = r.join(n_full, ["root", "start"], "left")

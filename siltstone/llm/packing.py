@@ -108,7 +108,7 @@ class _Names:
         return pd.DataFrame(out, columns=["key", "piece", "container", "position", "size"])
 
 
-def pack(sizes: DataFrame, capacity: int = 2048, open_containers: int = OPEN_CONTAINERS, leave: float = 0.01) -> DataFrame:
+def pack(sizes: DataFrame, capacity: int = 2048, open_containers: int = OPEN_CONTAINERS, leave: float = 0.001) -> DataFrame:
     """(key, n) -> (key, piece, container, position, size).
 
     container names the container, position is the offset of the piece in it;
@@ -135,7 +135,8 @@ def pack(sizes: DataFrame, capacity: int = 2048, open_containers: int = OPEN_CON
         yield rest.assign(container=None)
 
     def second(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, bins = _Names("b"), OpenContainers(capacity, open_containers)
+        # Sorted by size and bounded in number, all of a task's leftovers may stay open.
+        names, bins = _Names("b"), OpenContainers(capacity, 2 * LEFTOVERS_PER_TASK)
         for part in parts:
             full = []
             for key, piece, size in zip(part["key"], part["piece"], part["size"]):
