@@ -368,13 +368,24 @@ def _(spark, d):
 _STRIP1 = "trim(regexp_replace({0}, '^\\s+|\\s+$', '', 'g'))"
 
 
-@query("author_resolution")
+_AUTH = r"""with c0 as (select seq id, unnest(creators) c, generate_subscripts(creators, 1) - 1 pos from raw_datacite),
+c1 as (select id, pos, c.name_type kind, c."name" nm, list_filter(list_transform(coalesce(c.identifiers, []), lambda x: regexp_replace(x, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g')), lambda x: x is not null) raw_ids, c.affiliations aff from c0 where c is not null),
+c2 as (select id, pos, nm, list_sort(list_filter(list_transform(raw_ids, lambda x: lower(trim(case when contains(x, 'orcid.org/') then substr(x, strpos(x, 'orcid.org/') + 10) when starts_with(lower(x), 'orcid:') and contains(x, 'orcid:') then substr(x, strpos(x, 'orcid:') + 6) else x end))), lambda x: x <> '')) ids,
+ list_filter(coalesce(aff, []), lambda x: x is not null and x <> '') aff from c1 where coalesce(regexp_replace(nm, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g'), '') <> '' and lower(trim(coalesce(kind, ''))) <> 'organizational'),
+c3 as (select *, list_transform(aff, lambda x: trim(x)) a0 from c2), """ + ", ".join(
+    f"c{i + 4} as (select * exclude (a{i}), list_transform(a{i}, lambda x: case when regexp_full_match(x, '(?s)\\(.*\\)') then trim(regexp_replace(x, '(?s)^\\((.*)\\)$', '\\1')) else x end) a{i + 1} from c{i + 3})" for i in range(3)
+) + r""", k as (select id, pos, nm, ids, list_sort(a3) afs, coalesce('id:' || coalesce(list_filter(ids, lambda x: regexp_full_match(x, '([0-9a-f]{4}-){3}[0-9a-f]{3}[0-9a-fx]'))[1], ids[1]),
+ 'name:' || lower(regexp_replace(nm, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g')) || chr(31) || lower(array_to_string(list_sort(a3), chr(30)))) as kk from c6)"""
+
+
+
+@query("author_resolution", _AUTH + """ select kk as "key", arg_min(nm, (id, pos)) as "name", arg_min(array_to_string(ids, ';'), (id, pos)) nameIdentifiers, arg_min(array_to_string(afs, ';'), (id, pos)) affiliations, count(distinct id) n_datasets from k group by 1""")
 def _(spark, d):
     a = entities.authors(_creators(spark, d))
     return a.select("key", "name", F.array_join("nameIdentifiers", ";").alias("nameIdentifiers"), F.array_join("affiliations", ";").alias("affiliations"), "n_datasets")
 
 
-@query("author_links")
+@query("author_links", _AUTH + ' select distinct kk as "key", id from k')
 def _(spark, d):
     return entities.author_links(_creators(spark, d))
 

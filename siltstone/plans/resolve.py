@@ -10,7 +10,11 @@ from siltstone.functions.text import map_key
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list) -> DataFrame:
-    """The first row of each key; ties by the given order, which must be total."""
+    """The first row of each key; ties by the given order, which must be total.
+
+    Spark limits each key to its first row before the shuffle (WindowGroupLimit),
+    so hot keys shrink on the map side.
+    """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
@@ -43,12 +47,16 @@ def map_conflicts(entries: DataFrame) -> DataFrame:
 
 def first_seen(rows: DataFrame, key: str, order: str, entries: DataFrame) -> DataFrame:
     """Each row with its status: a key is taken when first seen, staged or
-    unmatched; every later row of it is a duplicate."""
-    w = Window.partitionBy("key").orderBy(order)
-    r = rows.withColumn("key", map_key(F.col(key))).where("key is not null and key <> ''").withColumn("_n", F.row_number().over(w))
-    got = r.join(identifier_map(entries), "key", "left")
-    status = F.when(F.col("_n") > 1, "duplicate").when(F.col("datasetId").isNull(), "unmatched").otherwise("staged")
-    return got.withColumn("status", status).withColumn("datasetId", F.when(F.col("_n") == 1, F.col("datasetId"))).drop("_n")
+    unmatched; every later row of it is a duplicate. order must be unique.
+
+    Firsts come from an aggregation and are joined back, so that a key with a
+    large share of all rows is not ranked in one task.
+    """
+    r = rows.withColumn("key", map_key(F.col(key))).where("key is not null and key <> ''")
+    firsts = r.groupBy("key").agg(F.min(order).alias("_first")).join(identifier_map(entries), "key", "left")
+    is_first = F.col(order) == F.col("_first")
+    status = F.when(~is_first, "duplicate").when(F.col("datasetId").isNull(), "unmatched").otherwise("staged")
+    return r.join(firsts, "key").withColumn("status", status).withColumn("datasetId", F.when(is_first, F.col("datasetId"))).drop("_first")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
