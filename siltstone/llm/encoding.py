@@ -36,7 +36,7 @@ ROUNDS = 3
 THRESHOLD = 3.0
 #: Share of all texts that a cipher has before anything is learned.
 FIRST_SHARE = 1e-3
-#: Sources with learned shares of their own; smaller ones beyond that number use those of all.
+#: Sources with learned shares of their own; smaller ones beyond that number share one cipher statistic.
 OWN_SHARES = 10_000
 _FLOOR = 0.02
 #: What a text that some UTF-8 cipher explains counts as clean at first.
@@ -281,6 +281,9 @@ def garbled_texts(df: DataFrame, rounds: int = ROUNDS, threshold: float = THRESH
     """
     known = ciphers()
     beyond = df.where(F.col("text").rlike(r"[^\x00-\x7F]")).select(F.coalesce("source", F.lit("")).alias("source"), F.col("id").cast("long").alias("id"), F.col("pos").cast("int").alias("pos"), "text")
+    if beyond.select("source").distinct().limit(OWN_SHARES + 1).count() > OWN_SHARES:
+        largest = beyond.groupBy("source").count().orderBy(F.desc("count"), "source").limit(OWN_SHARES).select("source", F.lit(True).alias("own"))
+        beyond = beyond.join(F.broadcast(largest), "source", "left").select(F.when(F.col("own"), F.col("source")).otherwise("").alias("source"), "id", "pos", "text")
     model = learn(beyond.groupBy("source", "text").agg(F.count("*").alias("n")), rounds)
     sent = df.sparkSession.sparkContext.broadcast(model)
 
