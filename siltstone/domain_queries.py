@@ -579,6 +579,43 @@ def _(spark, d):
     return reports.latest_per_dataset(l).select("datasetId", "score", "year")
 
 
+@query("analysis_totals", f"with {_SCORED}, {_AFTER}, s as (select * from sd where id % 5 = 0), g as (select s.publisherId, count(distinct af.score) k, count(*) n from s left join af using (id) group by 1) select k = 1 consistent, count(*) n_publishers, cast(sum(n) as bigint) n_datasets from g group by 1")
+def _(spark, d):
+    c = fair.consistency(_scored(spark, d).where("id % 5 = 0").select("publisherId", "id", "score"), _after(spark, d))
+    return reports.totals(c, "afterConsistent", "n").select(F.col("afterConsistent").alias("consistent"), F.col("n_rows").alias("n_publishers"), F.col("total").alias("n_datasets"))
+
+
+@query("union_inputs", "select 'raw_datacite' tab, seq from raw_datacite union all select 'raw_emdb', seq from raw_emdb")
+def _(spark, d):
+    one = lambda t: table(spark, d, t).select(F.lit(t).alias("tab"), "seq")
+    return one("raw_datacite").unionByName(one("raw_emdb"))
+
+
+@query("set_difference", "select id from dataset except select datasetId from identifier_map")
+def _(spark, d):
+    return table(spark, d, "dataset").select("id").join(table(spark, d, "identifier_map").select(F.col("datasetId").alias("id")), "id", "left_anti").distinct()
+
+
+@query("semi_join", "select seq, datasetId, score from fuji_score where datasetId in (select datasetId from identifier_map where identifierType = 'emdb_id')")
+def _(spark, d):
+    m = table(spark, d, "identifier_map").where("identifierType = 'emdb_id'").select("datasetId")
+    return table(spark, d, "fuji_score").join(m, "datasetId", "left_semi").select("seq", "datasetId", "score")
+
+
+@query("topic_year_ranges", "select lower(subjects[1]) topic, min(pubYear) lo, max(pubYear) hi from dataset where pubYear > 0 and len(subjects) > 0 and subjects[1] is not null group by 1")
+def _(spark, d):
+    t = table(spark, d, "dataset").where("pubYear > 0").select(_subfield().alias("topic"), "pubYear").where("topic is not null")
+    return t.groupBy("topic").agg(F.min("pubYear").alias("lo"), F.max("pubYear").alias("hi"))
+
+
+@query("json_report", "select publisherId as \"key\", '{\"n\":' || count(*) || ',\"last\":' || max(id) || '}' \"json\" from dataset where publisherId is not null group by 1")
+def _(spark, d):
+    from siltstone.sources.io import json_report
+
+    g = table(spark, d, "dataset").where("publisherId is not null").groupBy(F.col("publisherId").alias("key")).agg(F.count("*").alias("n"), F.max("id").alias("last"))
+    return json_report(g, "key")
+
+
 # ------------------------------------------------------------------ scalar rules
 
 

@@ -72,3 +72,19 @@ def top_and_other(df: DataFrame, name: Column, top: int, other: str = "Other") -
 def latest_per_dataset(rows: DataFrame) -> DataFrame:
     """(datasetId, score, year, created) -> the last year's row, the one made last on ties."""
     return first_per_key(rows, ["datasetId"], [F.desc("year"), F.desc("created"), F.desc("score")])
+
+
+def totals(df: DataFrame, flag: str, count: str) -> DataFrame:
+    """(flag, n_rows, total): rows and sum of a count by a flag."""
+    return df.groupBy(flag).agg(F.count("*").alias("n_rows"), F.sum(count).alias("total"))
+
+
+def shuffled(df: DataFrame, seed: int = 0) -> DataFrame:
+    """The rows in an order drawn anew for each seed."""
+    return df.orderBy(F.rand(seed))
+
+
+def source_map(df: DataFrame, key: str, value: str, name: str) -> str:
+    """A small table as the source text of a constant map, in key order."""
+    rows = df.select(key, value).orderBy(key).collect()
+    return f"export const {name} = {{\n" + "".join(f"  {r[0]!r}: {r[1]!r},\n" for r in rows) + "};\n"
