@@ -30,6 +30,7 @@ LEAST_WORDS = 20
 CODE_BITS = 24
 N_FEATURES = 1 << 15
 CACHED_WORDS = 400_000
+WORDS_AT_ONCE = 200_000
 
 _CODE = re.compile(
     r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<pre\b.*?(?:</pre>|\Z)|\{\{\{.*?(?:\}\}\}|\Z)|\[code\].*?(?:\[/code\]|\Z)|^(?: {4}|\t)[^\n]*$|`[^`\n]*`|<[/!]?[a-zA-Z][^<>\n]{0,200}>"
@@ -105,6 +106,17 @@ class Scorer:
         self.rows = np.zeros((1024, model.weights.shape[1]), np.float32)
 
     def margins(self, texts: list[list[str]]) -> np.ndarray:
+        """Of each text and bit, in parts so that the memory has a bound."""
+        out, part, n = [np.zeros((0, self.rows.shape[1]))], [], 0
+        for t in texts:
+            part.append(t)
+            n += len(t)
+            if n >= WORDS_AT_ONCE:
+                out.append(self._margins(part))
+                part, n = [], 0
+        return np.concatenate([*out, self._margins(part)] if part else out)
+
+    def _margins(self, texts: list[list[str]]) -> np.ndarray:
         if len(self.index) > CACHED_WORDS:
             self.index = {}
         index, n = self.index, len(self.index)
