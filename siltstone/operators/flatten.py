@@ -80,19 +80,24 @@ def _many(x: object) -> list | None:
     return x if isinstance(x, list) or x is None else [x]
 
 
+def _valid(s: str) -> str:
+    """s with lone surrogates, which JSON can escape but no text can hold, replaced."""
+    return s if s.isascii() else s.encode("utf-8", "replace").decode()
+
+
 def _text(x: object, *fields: str) -> str | None:
     """A scalar as text; of an object the first of the fields it has, else all its texts."""
     if isinstance(x, dict):
         got = [x[f] for f in fields if isinstance(x.get(f), str)]
-        return got[0] if got else ", ".join(v for v in x.values() if isinstance(v, str))
-    if x is None or isinstance(x, str):
-        return x
-    return json.dumps(x)
+        return _valid(got[0] if got else ", ".join(v for v in x.values() if isinstance(v, str)))
+    if x is None:
+        return None
+    return _valid(x) if isinstance(x, str) else json.dumps(x)
 
 
 def _person_name(x: object) -> str | None:
     if isinstance(x, dict) and not isinstance(x.get("name"), str):
-        return ", ".join(v for v in (x.get("family"), x.get("given")) if isinstance(v, str))
+        return _valid(", ".join(v for v in (x.get("family"), x.get("given")) if isinstance(v, str)))
     return _text(x, "name")
 
 

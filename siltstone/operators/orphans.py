@@ -74,3 +74,19 @@ def reason(n_records: Column, last_added: Column, at: Column) -> Column:
 def orphan_report(orphans: DataFrame) -> DataFrame:
     """Orphans per table, period and reason."""
     return orphans.groupBy("tab", "period", "reason").agg(F.count("*").alias("n_orphans"))
+
+
+def current_orphans(references: DataFrame, records: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """(tab, key, n_references): keys with references and no living record at as_of
+    (by default after all changes).
+
+    Both counts are sums of signed changes, so new changes can be added to old
+    sums; hot keys shrink before the shuffle.
+    """
+    by_then = (lambda c: c <= as_of) if as_of is not None else (lambda c: F.lit(True))
+    signed = records.where("key is not null and added_at is not null and (deleted_at is null or deleted_at > added_at)").select(
+        "key", F.when(by_then(F.col("added_at")), 1).otherwise(0).alias("added"), F.when(F.col("deleted_at").isNotNull() & by_then(F.col("deleted_at")), -1).otherwise(0).alias("deleted")
+    )
+    existence = signed.groupBy("key").agg(F.sum(F.col("added") + F.col("deleted")).alias("existing"))
+    used = references.where(F.col("key").isNotNull() & F.col("at").isNotNull() & by_then(F.col("at"))).groupBy("tab", "key").agg(F.count("*").alias("n_references"))
+    return used.join(existence, "key", "left").where(F.coalesce("existing", F.lit(0)) <= 0).select("tab", "key", "n_references")

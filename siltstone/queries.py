@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.flatten import flatten_creators, flatten_json_lines
-from siltstone.operators.orphans import orphan_references, orphan_report
+from siltstone.operators.orphans import current_orphans, orphan_references, orphan_report
 from siltstone.operators.timestamps import CANONICAL, normalise_timestamps
 from siltstone.runtime import read_table
 
@@ -35,7 +35,8 @@ def compact(c: Column) -> Column:
     return F.nullif(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", ""), F.lit(""))
 
 
-def _orphans(spark: SparkSession, d: str) -> DataFrame:
+def _references(spark: SparkSession, d: str) -> tuple[tuple[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    """References and records: citations to identifiers, and identifiers and scores to datasets."""
     c, m, f, s = (read_table(spark, d, t) for t in ("citations", "identifier_map", "fuji_score", "dataset"))
     given = F.coalesce(F.nullif("dataset_id", F.lit("")), F.nullif("doi", F.lit("")))
     refs = c.where(given.isNotNull()).select(F.lit("citations").alias("tab"), F.col("seq").alias("row_key"), F.coalesce(compact(given), F.lit("")).alias("key"), F.col("ingested_at").alias("at"))
@@ -45,7 +46,17 @@ def _orphans(spark: SparkSession, d: str) -> DataFrame:
         f.select(F.lit("fuji_score").alias("tab"), F.col("seq").alias("row_key"), number, F.col("ingested_at").alias("at"))
     )
     sets = s.select(F.col("id").cast("string").alias("key"), F.col("created").alias("added_at"), F.lit(None).cast("timestamp").alias("deleted_at"))
-    return orphan_references(refs, ids).unionByName(orphan_references(to_dataset, sets))
+    return (refs, ids), (to_dataset, sets)
+
+
+def _orphans(spark: SparkSession, d: str) -> DataFrame:
+    to_map, to_dataset = _references(spark, d)
+    return orphan_references(*to_map).unionByName(orphan_references(*to_dataset))
+
+
+def p2_current(spark: SparkSession, d: str) -> DataFrame:
+    to_map, to_dataset = _references(spark, d)
+    return current_orphans(*to_map).unionByName(current_orphans(*to_dataset))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -69,7 +80,7 @@ def p5_tables(spark: SparkSession, d: str) -> DataFrame:
     return _children(spark, d).select("tab", F.col("key").alias("seq"), "child", "creator_pos", "item_pos", "name", "name_type", "value")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p5_found": p5_found, "p5_tables": p5_tables}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p2_current": p2_current, "p5_found": p5_found, "p5_tables": p5_tables}
 
 _P2 = """
 with refs as (select seq, ingested_at as t, regexp_replace(lower(coalesce(nullif(dataset_id,''),doi)), '[^\\p{L}\\p{N}]', '', 'g') k
@@ -100,6 +111,8 @@ union all select 'raw_emdb', seq, child, cast(creator_pos as int), cast(item_pos
 """
 ORACLE: dict[str, str] = {
     "p2_found": _P2 + "select * from found",
+    "p2_current": _P2 + """ select 'citations' tab, k as "key", count(*) n_references from refs where k not in (select k from ids where deleted_at is null) group by 2
+ union all select tab, cast(datasetId as varchar), count(*) from d where datasetId not in (select id from dataset) group by 1, 2""",
     "p2_report": _P2 + "select tab, period, reason, count(*) n_orphans from found group by all",
     "p5_found": _P5,
 }

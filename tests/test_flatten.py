@@ -59,3 +59,8 @@ def test_shapes_of_one_record():
     assert canonical_creators([1]) is None
     assert canonical_creators({"creators": []}) == []
     assert canonical_creators({"creators": 5})[0]["name"] == "5"
+
+
+def test_lone_surrogates(spark):
+    df = spark.createDataFrame([(1, '{"creators": [{"name": "a\\ud83d"}]}')], "seq long, line string")
+    assert [r.name for r in flatten_json_lines(df).collect()] == ["a?"]

@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.orphans import orphan_references, orphan_report
+from siltstone.operators.orphans import current_orphans, orphan_references, orphan_report
 
 REFS = "tab string, row_key long, key string, at timestamp, n int"
 RECS = "key string, added_at timestamp, deleted_at timestamp, n int"
@@ -53,3 +53,11 @@ def test_empty_sides(spark):
 def test_report(spark):
     df = orphan_references(spark.createDataFrame([("x", 1, "a", t(1), 0)] * 3, REFS), spark.createDataFrame([], RECS))
     assert [tuple(r) for r in orphan_report(df).select("tab", "period", "reason", F.col("n_orphans")).collect()] == [("x", "2020-01", "missing", 3)]
+
+
+def test_current(spark):
+    recs = spark.createDataFrame([("a", t(1), None, 0), ("b", t(1), t(9), 0), ("b", t(2), t(9), 0), ("c", t(5), None, 0), (None, t(1), None, 0), ("e", t(4), t(4), 0)], RECS)
+    refs = spark.createDataFrame([("x", i, k, t(3), 0) for i, k in enumerate(["a", "b", "b", "c", "z", "e", None])] + [("y", 1, "b", t(20), 0)], REFS)
+    assert sorted(map(tuple, current_orphans(refs, recs).collect())) == [("x", "b", 2), ("x", "e", 1), ("x", "z", 1), ("y", "b", 1)]
+    assert sorted(map(tuple, current_orphans(refs, recs, F.lit(t(4))).collect())) == [("x", "c", 1), ("x", "e", 1), ("x", "z", 1)]
+    assert current_orphans(refs.limit(0), recs).count() == 0
