@@ -31,6 +31,8 @@ CODE_BITS = 24
 N_FEATURES = 1 << 15
 CACHED_WORDS = 400_000
 WORDS_AT_ONCE = 200_000
+#: Below this confidence another codeword is about as near.
+AMBIGUOUS = 0.6
 
 _CODE = re.compile(
     r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<pre\b.*?(?:</pre>|\Z)|\{\{\{.*?(?:\}\}\}|\Z)|\[code\].*?(?:\[/code\]|\Z)|^(?: {4}|\t)[^\n]*$|`[^`\n]*`|<[/!]?[a-zA-Z][^<>\n]{0,200}>"
@@ -192,9 +194,9 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
 
 
 def language_segments(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """(key, start, end, n_words, lang, confidence): one row for each stretch of
-    consecutive paragraphs of prose in one language, n_words being those of its
-    longest paragraph, confidence the mean over words.
+    """(key, start, end, n_words, lang, confidence, ambiguous): one row for each
+    stretch of consecutive paragraphs of prose in one language, n_words being those
+    of its longest paragraph, confidence the mean over words.
 
     Null and empty texts, and texts without words, have no rows. Paragraphs of
     less than eight words join the stretch that they follow, or open the text in
@@ -227,15 +229,16 @@ def language_segments(docs: DataFrame, model: Model, key: str = "doc_id", text:
                 else:
                     out.append([k, start, end, n, y, p * n, n])
             cols = list(zip(*out))
+            means = np.minimum(1.0, np.array(cols[5]) / np.array(cols[6]))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()),
-                    pa.array([languages[y] for y in cols[4]]), pa.array([min(1.0, p / n) for p, n in zip(cols[5], cols[6])]),
+                    pa.array([languages[y] for y in cols[4]]), pa.array(means), pa.array(means < AMBIGUOUS),
                 ],
-                names=["key", "start", "end", "n_words", "lang", "confidence"],
+                names=["key", "start", "end", "n_words", "lang", "confidence", "ambiguous"],
             )
 
-    return docs.select(key, text).mapInArrow(run, "key long, start int, end int, n_words int, lang string, confidence double")
+    return docs.select(key, text).mapInArrow(run, "key long, start int, end int, n_words int, lang string, confidence double, ambiguous boolean")
 
 
 def document_languages(segments: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:

@@ -41,6 +41,7 @@ def test_segments_and_documents(spark, model):
     assert [(k, y) for k, _, y in got if k in (1, 2)] == [(1, "fr"), (2, "de"), (2, "en")]
     assert {k for k, _, _ in got} == {1, 2, 6, 7}
     assert all(0 < r.confidence <= 1 for r in seg.collect())
+    assert all(r.ambiguous == (r.confidence < L.AMBIGUOUS) for r in seg.collect())
     docs = {(r.key, r.lang, r.n_langs) for r in L.document_languages(seg).collect()}
     assert {(1, "fr", 1), (2, "de", 2), (2, "en", 2)} <= docs and not any(k == 6 for k, _, _ in docs)
     assert L.language_segments(spark.createDataFrame([], "doc_id long, text string"), m, languages=langs).count() == 0
