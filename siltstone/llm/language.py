@@ -194,9 +194,9 @@ def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", key:
 
 
 def language_segments(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", languages: tuple[str, ...] = LANGUAGES) -> DataFrame:
-    """(key, start, end, n_words, lang, confidence, ambiguous): one row for each
-    stretch of consecutive paragraphs of prose in one language, n_words being those
-    of its longest paragraph, confidence the mean over words.
+    """(key, start, end, words, n_words, lang, confidence, ambiguous): one row for
+    each stretch of consecutive paragraphs of prose in one language; words are its
+    words, n_words those of its longest paragraph, confidence the mean over words.
 
     Null and empty texts, and texts without words, have no rows. Paragraphs of
     less than eight words join the stretch that they follow, or open the text in
@@ -232,13 +232,13 @@ def language_segments(docs: DataFrame, model: Model, key: str = "doc_id", text:
             means = np.minimum(1.0, np.array(cols[5]) / np.array(cols[6]))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32()),
+                    pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[6], pa.int32()), pa.array(cols[3], pa.int32()),
                     pa.array([languages[y] for y in cols[4]]), pa.array(means), pa.array(means < AMBIGUOUS),
                 ],
-                names=["key", "start", "end", "n_words", "lang", "confidence", "ambiguous"],
+                names=["key", "start", "end", "words", "n_words", "lang", "confidence", "ambiguous"],
             )
 
-    return docs.select(key, text).mapInArrow(run, "key long, start int, end int, n_words int, lang string, confidence double, ambiguous boolean")
+    return docs.select(key, text).mapInArrow(run, "key long, start int, end int, words int, n_words int, lang string, confidence double, ambiguous boolean")
 
 
 def document_languages(segments: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -246,3 +246,12 @@ def document_languages(segments: DataFrame, least_words: int = LEAST_WORDS) -> D
     long = segments.where(F.col("n_words") >= least_words).groupBy("key", "lang").agg(F.max("confidence").alias("confidence"))
     n = long.groupBy("key").agg(F.count("*").alias("n_langs"))
     return long.join(n, "key")
+
+
+def main_languages(docs: DataFrame, segments: DataFrame, key: str = "doc_id") -> DataFrame:
+    """(key, lang, confidence, share, n_langs) of each document: the language of most
+    of its words, with their share; lang is null and n_langs 0 where there are none."""
+    by = segments.groupBy("key", "lang").agg(F.sum("words").alias("w"), F.sum(F.col("confidence") * F.col("words")).alias("c"), F.max("n_words").alias("longest"))
+    top = by.groupBy("key").agg(F.max_by(F.struct("lang", "w", "c"), F.struct("w", "lang")).alias("t"), F.sum("w").alias("all"), F.count_if(F.col("longest") >= LEAST_WORDS).alias("n_langs"))
+    j = docs.select(F.col(key).cast("long").alias("key")).join(top, "key", "left")
+    return j.select("key", "t.lang", (F.col("t.c") / F.col("t.w")).alias("confidence"), (F.col("t.w") / F.col("all")).alias("share"), F.coalesce("n_langs", F.lit(0)).alias("n_langs"))

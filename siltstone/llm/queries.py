@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from siltstone.llm.collapse import collapse, copies, letters_and_digits, link_letters_and_digits
 from siltstone.llm.encoding import garbled_texts
-from siltstone.llm.language import document_languages, fit_languages, language_segments, normal_label_column
+from siltstone.llm.language import document_languages, fit_languages, language_segments, main_languages, normal_label_column
 from siltstone.llm.leakage import leaked_items
 from siltstone.llm.names import resolve_organisations, resolve_persons, same_entity_pairs
 from siltstone.llm.packing import pack, token_sizes
@@ -88,6 +88,11 @@ def p9_segments(spark: SparkSession, d: str) -> DataFrame:
     return language_segments(docs, fit_languages(docs)).withColumnRenamed("key", "doc_id")
 
 
+def p9_documents(spark: SparkSession, d: str) -> DataFrame:
+    docs = read_table(spark, d, "documents")
+    return main_languages(docs, language_segments(docs, fit_languages(docs))).withColumnRenamed("key", "doc_id")
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     docs = read_table(spark, d, "documents")
     by_doc = document_languages(language_segments(docs, fit_languages(docs)))
@@ -96,7 +101,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return by_doc.join(label, "key").where(wrong).select(F.col("key").alias("doc_id"), "lang")
 
 
-QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_collapsed": p4_collapsed, "p6_found": p6_found, "p6_entities": p6_entities, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments}
+QUERIES: dict[str, Query] = {"p3_found": p3_found, "p3_restored": p3_restored, "p4_found": p4_found, "p4_collapsed": p4_collapsed, "p6_found": p6_found, "p6_entities": p6_entities, "p7_pack": p7_pack, "p8_found": p8_found, "p8_passages": p8_passages, "p9_found": p9_found, "p9_segments": p9_segments, "p9_documents": p9_documents}
 
 _P4 = """
 with v as (select seq, coalesce(nullif(dataset_id,''), doi) r, citation_link l from citations),

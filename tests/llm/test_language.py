@@ -42,6 +42,8 @@ def test_segments_and_documents(spark, model):
     assert {k for k, _, _ in got} == {1, 2, 6, 7}
     assert all(0 < r.confidence <= 1 for r in seg.collect())
     assert all(r.ambiguous == (r.confidence < L.AMBIGUOUS) for r in seg.collect())
+    table = spark.createDataFrame([(k, "x") for k in (1, 2, 3)], "doc_id long, lang string")
+    assert {(r.key, r.lang, r.n_langs) for r in L.main_languages(table, seg).collect()} == {(1, "fr", 1), (2, "en" if len(SAMPLE["en"].split()) >= len(SAMPLE["de"].split()) else "de", 2), (3, None, 0)}
     docs = {(r.key, r.lang, r.n_langs) for r in L.document_languages(seg).collect()}
     assert {(1, "fr", 1), (2, "de", 2), (2, "en", 2)} <= docs and not any(k == 6 for k, _, _ in docs)
     assert L.language_segments(spark.createDataFrame([], "doc_id long, text string"), m, languages=langs).count() == 0
