@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -18,7 +20,9 @@ def shared_dir(spark: SparkSession) -> str:
     """
     at = spark.conf.get(_SETTING, None)
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="siltstone-")
+        path = tempfile.mkdtemp(prefix="siltstone-")
+        atexit.register(shutil.rmtree, path, True)
+        at = "file://" + path
         spark.conf.set(_SETTING, at)
     return at.rstrip("/")
 
