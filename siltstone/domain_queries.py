@@ -319,12 +319,12 @@ _NAT = "lk as (select distinct s_nationkey entity, cast(l_partkey as int) id fro
 
 
 def _supplier_links(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("entity"), F.col("l_partkey").cast("int").alias("id")).distinct()
+    return table(spark, d, "lineitem").select(F.col("l_suppkey").alias("entity"), F.col("l_partkey").cast("int").alias("id"))
 
 
 def _nation_links(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("entity"), "s_nationkey")
-    return _supplier_links(spark, d).join(s, "entity").select(F.col("s_nationkey").alias("entity"), "id").distinct()
+    return _supplier_links(spark, d).join(s, "entity").select(F.col("s_nationkey").alias("entity"), "id")
 
 
 @query("sindex_user", f"with {_INDEX}{_CARRY.format(links=_SUPP)} select entity, cast(y as int) as \"year\", round(score, 4) score from s")

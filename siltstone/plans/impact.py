@@ -23,12 +23,12 @@ def dataset_index(datasets: DataFrame, citations: DataFrame, mentions: DataFrame
     events = citations.select("id", F.coalesce("year", F.lit(as_of_year)).alias("year"), w("weight").alias("c"), F.lit(0.0).alias("m")).unionByName(
         mentions.select("id", F.coalesce("year", F.lit(as_of_year)).alias("year"), F.lit(0.0).alias("c"), w("weight").alias("m"))
     )
-    by_year = events.groupBy("id", "year").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
     d = datasets.select("id", "pubyear", clamp_score(F.col("score")).alias("fi"))
-    first = d.where("pubyear is not null").select("id", F.col("pubyear").alias("year"), F.lit(0.0).alias("c"), F.lit(0.0).alias("m"))
-    seen = by_year.join(d.select("id"), "id", "left_semi")
-    bare = d.where("pubyear is null").join(by_year.select("id").distinct(), "id", "left_anti").select("id", F.lit(as_of_year).alias("year"), F.lit(0.0).alias("c"), F.lit(0.0).alias("m"))
-    grid = seen.unionByName(first).unionByName(bare).groupBy("id", "year").agg(F.sum("c").alias("c"), F.sum("m").alias("m")).join(d, "id")
+    # Each dataset's own row; without a year it only counts if no event gives one.
+    own = d.select("id", F.col("pubyear").alias("year"), F.lit(0.0).alias("c"), F.lit(0.0).alias("m"))
+    by_year = events.unionByName(own).groupBy("id", "year").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
+    n_years = F.count("year").over(Window.partitionBy("id"))
+    grid = by_year.join(d, "id").withColumn("n_years", n_years).where("year is not null or n_years = 0").withColumn("year", F.coalesce("year", F.lit(as_of_year)))
     run = Window.partitionBy("id").orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
     ever = Window.partitionBy("id")
     early = F.col("year") <= F.col("pubyear")
@@ -54,7 +54,7 @@ def entity_index(links: DataFrame, index: DataFrame, as_of_year: int) -> DataFra
     w = Window.partitionBy("id").orderBy("year")
     change = index.withColumn("change", F.col("score") - F.coalesce(F.lag("score").over(w), F.lit(0.0))).select("id", "year", "change")
     per = links.select("entity", "id").distinct().join(change, "id").groupBy("entity", "year").agg(F.sum("change").alias("change"))
-    span = per.groupBy("entity").agg(F.min("year").alias("lo"), F.least(F.max("year"), F.lit(as_of_year - 1)).alias("hi")).where("hi >= lo")
-    grid = span.select("entity", F.explode(F.sequence("lo", "hi")).alias("year"))
-    run = Window.partitionBy("entity").orderBy("year").rowsBetween(Window.unboundedPreceding, 0)
-    return grid.join(per, ["entity", "year"], "left").select("entity", "year", F.sum(F.coalesce("change", F.lit(0.0))).over(run).alias("score"))
+    run = Window.partitionBy("entity").orderBy("year")
+    level = per.withColumns({"score": F.sum("change").over(run.rowsBetween(Window.unboundedPreceding, 0)), "until": F.coalesce(F.lead("year").over(run) - 1, "year")})
+    level = level.withColumn("until", F.least("until", F.lit(as_of_year - 1))).where("until >= year")
+    return level.select("entity", F.explode(F.sequence("year", "until")).alias("year"), "score")
