@@ -298,12 +298,12 @@ def _(spark, d):
     return normalize.cascade_factors(asked, n).select("id", "ft", "topic_used", "year_used")
 
 
-@query("dindex_series", f"with {_INDEX} select id, y as \"year\", round(score, 5) score from ix")
+@query("dindex_series", f"with {_INDEX} select id, cast(y as int) as \"year\", round(score, 5) score from ix")
 def _(spark, d):
     return _index(spark, d).select("id", "year", F.round("score", 5).alias("score"))
 
 
-@query("dindex_latest", f"with {_INDEX}, l as (select id, arg_max(score, y) score, max(y) y from ix group by 1) select l.id, d.identifier, d.identifierType, l.y as \"year\", round(l.score, 5) score from l join dataset d using (id)")
+@query("dindex_latest", f"with {_INDEX}, l as (select id, arg_max(score, y) score, max(y) y from ix group by 1) select l.id, d.identifier, d.identifierType, cast(l.y as int) as \"year\", round(l.score, 5) score from l join dataset d using (id)")
 def _(spark, d):
     latest = impact.latest_index(_index(spark, d))
     return latest.join(table(spark, d, "dataset").select("id", "identifier", "identifierType"), "id").select("id", "identifier", "identifierType", "year", F.round("score", 5).alias("score"))
