@@ -243,12 +243,23 @@ def _longest(d: np.ndarray, i: np.ndarray, own: np.ndarray) -> tuple[int, int]:
     return int(length[a, b]), int(errors[a, b])
 
 
+def least_own(words: np.ndarray, own: np.ndarray) -> int:
+    """How many different own words any passage of an item keeps at least: half of
+    those in the window with the fewest, each counted as often as it can repeat."""
+    if len(words) < WINDOW or not own.any():
+        return len(words) + 1
+    repeats = int(np.unique(words[own], return_counts=True)[1].max())
+    in_window = np.convolve(own, np.ones(WINDOW, int), "valid")
+    return min(-(-(-(-int(n) // 2)) // repeats) for n in in_window if n) if in_window.any() else len(words) + 1
+
+
 _FOUND = "doc_id long, item_id long, n_words int, n_altered int"
 
 
 def _verify(batches: Iterator[pa.RecordBatch], items: Items, prefix: list[set[int]]) -> Iterator[pa.RecordBatch]:
     n_shingles, owners = len(items.shingles), items.owners
     own = [set(np.searchsorted(items.shingles, items.keys(w)).tolist()) for w in items.words]
+    least = [least_own(w, o) for w, o in zip(items.words, items.own)]
     for b in batches:
         out = []
         for doc, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
@@ -260,9 +271,9 @@ def _verify(batches: Iterator[pa.RecordBatch], items: Items, prefix: list[set[in
             places = np.flatnonzero(ok)
             shingles = at[places].tolist()
             there = set(shingles)
-            # A passage keeps one of the item's own words at least, besides its shingles.
-            for k in {k for x in set(words) for k in owners.get(x, ())}:
-                if len(there & own[k]) < LEAST_SHARED or there.isdisjoint(prefix[k]):
+            kept = Counter(k for x in set(words) for k in owners.get(x, ()))
+            for k, n_own in kept.items():
+                if n_own < least[k] or len(there & own[k]) < LEAST_SHARED or there.isdisjoint(prefix[k]):
                     continue
                 at_places = [p for p, s in zip(places.tolist(), shingles) if s in own[k]]
                 lo, hi = max(0, at_places[0] - WINDOW), at_places[-1] + SHINGLE + WINDOW
