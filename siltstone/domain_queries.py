@@ -183,10 +183,9 @@ def _(spark, d):
 # ------------------------------------------------------------------ merging
 
 _LINK = r"regexp_replace(citation_link, '[^\p{L}\p{N}./:_~-]', '', 'g')"
-_BY_LINK = f"""by_link as (select par, datasetId, {_LINK} citationLink, bool_or(list_contains(list_transform(source, lambda x: lower(x)), 'datacite')) datacite, bool_or(list_contains(list_transform(source, lambda x: lower(x)), 'mdc')) mdc,
- bool_or(list_contains(list_transform(source, lambda x: lower(x)), 'openalex')) openAlex, max(case when isnan(citation_weight) then null else citation_weight end) citationWeight, arg_min_null(citation_date, seq) citedDate
+_BY_LINK = f"""by_link as (select par, datasetId, {_LINK} citationLink, bool_or(list_contains(list_transform(src, lambda x: lower(x)), 'datacite')) datacite, bool_or(list_contains(list_transform(src, lambda x: lower(x)), 'mdc')) mdc,
+ bool_or(list_contains(list_transform(src, lambda x: lower(x)), 'openalex')) openAlex, max(case when isnan(citation_weight) then null else citation_weight end) citationWeight, arg_min_null(citation_date, seq) citedDate
  from (select *, seq % 2 par, coalesce(source, []) src from r) where {_LINK} <> '' group by 1, 2, 3)"""
-_BY_LINK = _BY_LINK.replace("list_transform(source,", "list_transform(src,")
 _MERGE = f"""with {_RES}, {_BY_LINK}, o as (select * from by_link where par = 0), i as (select * from by_link where par = 1),
 j as (select coalesce(o.datasetId, i.datasetId) datasetId, coalesce(o.citationLink, i.citationLink) citationLink, o.datasetId is not null old, i.datasetId is not null inn,
  coalesce(o.datacite or i.datacite, o.datacite, i.datacite) datacite, coalesce(o.mdc or i.mdc, o.mdc, i.mdc) mdc, coalesce(o.openAlex or i.openAlex, o.openAlex, i.openAlex) openAlex,
@@ -220,9 +219,6 @@ def _(spark, d):
     return by.join(first, ["datasetId", "citationLink"], "left")
 
 
-_MENTION = f"""with {_RES}, x as (select datasetId, {_LINK} mentionLink, citation_weight w, citation_date dt, seq, unnest(case when len(coalesce(source, [])) = 0 then [null] else list_transform(source, lambda s: lower(s)) end) s from r where {_LINK} <> ''),
-o as (select datasetId, mentionLink, s, min(seq) at from x where s is not null group by 1, 2, 3)
-select x.datasetId, x.mentionLink, coalesce((select string_agg(s, ',' order by at, s) from o where o.datasetId = x.datasetId and o.mentionLink = x.mentionLink), '') sources, arg_min_null(dt, seq) mentionedDate from x group by 1, 2"""
 _MENTION = f"""with {_RES}, base as (select datasetId, {_LINK} mentionLink, citation_date dt, seq, source from r where {_LINK} <> ''),
 x as (select datasetId, mentionLink, seq, unnest(list_transform(source, lambda s: lower(s))) s from base where source is not null),
 o as (select datasetId, mentionLink, s, min(seq) t from x where s is not null group by 1, 2, 3), oo as (select datasetId, mentionLink, string_agg(s, ',' order by t, s) sources from o group by 1, 2),
@@ -309,8 +305,6 @@ def _(spark, d):
     return latest.join(table(spark, d, "dataset").select("id", "identifier", "identifierType"), "id").select("id", "identifier", "identifierType", "year", F.round("score", 5).alias("score"))
 
 
-_CARRY = """, lk as (select distinct l_suppkey entity, cast(l_partkey as int) id from lineitem), fi as (select lk.entity, min(y) lo, least(max(y), 2025) hi from lk join ix using (id) group by 1 having hi >= lo),
- ys as (select entity, unnest(range(lo, hi + 1)) y from fi), s as (select ys.entity, ys.y, sum((select arg_max(score, y) from ix where ix.id = lk.id and ix.y <= ys.y)) score from ys join lk using (entity) group by 1, 2)"""
 _CARRY = """, {links}, ch as (select id, y, score - coalesce(lag(score) over (partition by id order by y), 0) v, score, lead(y) over (partition by id order by y) nx from ix),
  sp as (select lk.entity, min(y) lo, least(max(y), 2025) hi from lk join ix using (id) group by 1 having hi >= lo), ys as (select entity, unnest(range(lo, hi + 1)) y from sp),
  s as (select ys.entity, ys.y, sum(ch.score) score from ys join lk using (entity) join ch on ch.id = lk.id and ch.y <= ys.y and (ch.nx is null or ch.nx > ys.y) group by 1, 2)"""
@@ -365,7 +359,7 @@ def _(spark, d):
 
 # ------------------------------------------------------------------ entities and ingest
 
-_STRIP1 = "trim(regexp_replace({0}, '^\\s+|\\s+$', '', 'g'))"
+_CTRL = "regexp_replace(coalesce({0},''), '[\\x{{FFFD}}\\x00-\\x1F\\x7F-\\x{{9F}}]', '', 'g')"
 
 
 _AUTH = r"""with c0 as (select seq id, unnest(creators) c, generate_subscripts(creators, 1) - 1 pos from raw_datacite),
@@ -378,23 +372,20 @@ c3 as (select *, list_transform(aff, lambda x: trim(x)) a0 from c2), """ + ", ".
  'name:' || lower(regexp_replace(nm, '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g')) || chr(31) || lower(array_to_string(list_sort(a3), chr(30)))) as kk from c6)"""
 
 
-
 @query("author_resolution", _AUTH + """ select kk as "key", arg_min(nm, (id, pos)) as "name", arg_min(array_to_string(ids, ';'), (id, pos)) nameIdentifiers, arg_min(array_to_string(afs, ';'), (id, pos)) affiliations, count(distinct id) n_datasets from k group by 1""")
 def _(spark, d):
     a = entities.authors(_creators(spark, d))
     return a.select("key", "name", F.array_join("nameIdentifiers", ";").alias("nameIdentifiers"), F.array_join("affiliations", ";").alias("affiliations"), "n_datasets")
 
 
-@query("author_links", _AUTH + ' select distinct kk as "key", id from k')
+@query("author_ids", _AUTH + ', g as (select kk, min((id, pos)) t from k group by 1) select kk as "key", cast(row_number() over (order by t) + 99 as bigint) new_id from g')
 def _(spark, d):
-    return entities.author_links(_creators(spark, d))
+    return entities.with_ids(entities.authors(_creators(spark, d)), ["first_id", "first_pos"], 100).select("key", "new_id")
 
 
-def _parens(c: str) -> str:
-    c = f"trim({c})"
-    for _ in range(4):
-        c = f"(case when regexp_full_match({c}, '(?s)\\(.*\\)') then trim(regexp_replace({c}, '(?s)^\\((.*)\\)$', '\\1')) else {c} end)"
-    return c
+@query("author_links", _AUTH + ' select distinct kk as "key", id from k')
+def _(spark, d):
+    return entities.author_links(_creators(spark, d))
 
 
 def _nested_parens(inner: str) -> str:
@@ -420,20 +411,20 @@ def _(spark, d):
     return entities.organization_links(_creators(spark, d))
 
 
-@query("user_dataset_links")
+_RECORD = f""", u as (select seq, unnest(identifiers) x, generate_subscripts(identifiers, 1) p from raw_datacite), v as (select seq, p, lower(trim({_CTRL.format('x.identifier')})) i from u),
+ f as (select * from v where i <> '' qualify row_number() over (partition by seq order by p) = 1), {_MAP}, rd as (select f.seq, m.datasetId id from f join m on m.k = f.i)"""
+
+
+@query("user_dataset_links", _AUTH + _RECORD + " select distinct k.kk entity, rd.id from k join rd on rd.seq = k.id")
 def _(spark, d):
     return _user_links(spark, d)
 
 
-@query("org_dataset_links")
+@query("org_dataset_links", _ORGS + _RECORD + " select distinct k.kk entity, rd.id from k join rd on rd.seq = k.id where k.kk <> ''")
 def _(spark, d):
     return _org_links(spark, d)
 
 
-_CTRL = "regexp_replace(coalesce({0},''), '[\\x{{FFFD}}\\x00-\\x1F\\x7F-\\x{{9F}}]', '', 'g')"
-_RAW = f"""with ids as (select seq, list_distinct(list_filter(list_transform(coalesce(identifiers, []), lambda x: {{'i': lower(trim({_CTRL.format('x.identifier')})), 't': lower(coalesce(x.identifier_type, x."identifierType", ''))}}), lambda y: y.i <> '')) l from raw_datacite)"""
-
-
 @query("raw_ingest", f"""with u as (select seq, unnest(identifiers) x, generate_subscripts(identifiers, 1) p from raw_datacite), v as (select seq, p, lower(trim({_CTRL.format('x.identifier')})) i, lower(coalesce(x.identifier_type, x."identifierType", '')) t from u),
  f as (select * from v where i <> '' qualify row_number() over (partition by seq order by p) = 1)
  select seq id, {_CTRL.format('source')} source, i identifier, t identifierType, coalesce(title,'') title, {_CTRL.format('description')} description, {_CTRL.format('"version"')} "version", {_CTRL.format('publisher')} publisher,
@@ -454,7 +445,12 @@ def _(spark, d):
     return ingest.dataset_identifiers(ingest.ingest(table(spark, d, "raw_datacite"))[0])
 
 
-@query("raw_authors")
+def _list(c: str) -> str:
+    return f"array_to_string(list_filter(list_transform(coalesce({c}, []), lambda x: {_CTRL.format('x')}), lambda y: y <> ''), '; ')"
+
+
+@query("raw_authors", _RECORD.replace(", u as", "with u as", 1) + f""", c as (select seq, unnest(creators) c, generate_subscripts(creators, 1) - 1 pos from raw_datacite where seq in (select seq from f))
+ select seq datasetId, cast(pos as int) pos, {_CTRL.format('c.name_type')} nameType, {_CTRL.format('c."name"')} "name", {_list('c.identifiers')} nameIdentifiers, {_list('c.affiliations')} affiliations from c where c is not null""")
 def _(spark, d):
     return ingest.dataset_authors(ingest.ingest(table(spark, d, "raw_datacite"))[0])
 

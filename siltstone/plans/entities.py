@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.functions.text import affiliations, canonical_identifier, name_identifiers, organization_key, strip, strip_parentheses
+from siltstone.runtime import materialise
 
 
 def creators_of(records: DataFrame, id_: str = "id", creators: str = "creators") -> DataFrame:
@@ -29,11 +31,12 @@ def _people(creators: DataFrame) -> DataFrame:
 
 
 def authors(creators: DataFrame) -> DataFrame:
-    """(key, name, nameIdentifiers, affiliations, n_datasets): one row for each
-    person, shown as first seen; organisations and blank names are left out."""
+    """(key, name, nameIdentifiers, affiliations, n_datasets, first_id, first_pos):
+    one row for each person, shown as first seen; organisations and blank names are
+    left out."""
     p = _people(creators).withColumn("at", F.struct("id", "pos"))
     shown = F.struct("name", name_identifiers(F.col("identifiers")).alias("nameIdentifiers"), affiliations(F.col("affiliations")).alias("affiliations"))
-    return p.groupBy("key").agg(F.min_by(shown, "at").alias("x"), F.countDistinct("id").alias("n_datasets")).select("key", "x.*", "n_datasets")
+    return p.groupBy("key").agg(F.min_by(shown, "at").alias("x"), F.countDistinct("id").alias("n_datasets"), F.min("at").alias("at")).select("key", "x.*", "n_datasets", F.col("at.id").alias("first_id"), F.col("at.pos").alias("first_pos"))
 
 
 def author_links(creators: DataFrame) -> DataFrame:
@@ -55,8 +58,16 @@ def organization_links(creators: DataFrame) -> DataFrame:
     return _orgs(creators).select("key", "id").distinct()
 
 
-def with_ids(df: DataFrame, order: list, start: int = 0) -> DataFrame:
-    """Consecutive ids from start in the given order, without gathering the rows in one task."""
-    ranged = df.orderBy(*order)
-    rdd = ranged.rdd.zipWithIndex().map(lambda x: (*x[0], x[1] + start))
-    return df.sparkSession.createDataFrame(rdd, df.schema.add("new_id", "long"))
+def with_ids(df: DataFrame, order: list[str], start: int = 0, name: str = "new_id") -> DataFrame:
+    """Consecutive ids from start in the given order.
+
+    The rows are sorted by ranges and numbered within each partition; the
+    partitions' sizes, one row each, give the offsets. No task sees all rows.
+    """
+    low = F.lit((1 << 33) - 1)
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    stored = materialise(ranged.withColumns({"_part": F.spark_partition_id(), "_row": F.monotonically_increasing_id().bitwiseAND(low)}), "numbered")
+    sizes = stored.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return stored.join(offsets, "_part").withColumn(name, F.col("_offset") + F.col("_row") + start).drop("_part", "_row", "_offset", "_n")

@@ -112,6 +112,7 @@ def test_people_and_organisations(spark):
     assert {r.key: (r.name, r.n_datasets) for r in entities.organizations(c).collect()} == {"univ": ("Univ (X)", 2), "a": ("A", 2)}
     assert entities.organization_links(c).count() == 4
     assert [r.new_id for r in entities.with_ids(entities.organizations(c), ["key"], 5).orderBy("key").collect()] == [5, 6]
+    assert sorted(r.new_id for r in entities.with_ids(spark.range(100).repartition(7), ["id"]).where("new_id = id").collect()) == list(range(100))
 
 
 def test_ingest(spark):
