@@ -528,7 +528,7 @@ def _(spark, d):
 # ------------------------------------------------------------------ dumps and reports
 
 
-@query("nested_dump", """with l as (select l_orderkey k, count(*) n_lines, string_agg(l_linenumber || ':' || l_partkey, ',' order by l_linenumber) lines from lineitem group by 1) select o_orderkey id, coalesce(n_lines, 0) n_lines, coalesce(lines, '') lines from orders left join l on k = o_orderkey""")
+@query("nested_dump", """with l as (select l_orderkey k, count(*) n_lines, string_agg(l_linenumber || ':' || l_partkey, ',' order by l_linenumber, l_linenumber || ':' || l_partkey) lines from lineitem group by 1) select o_orderkey id, coalesce(n_lines, 0) n_lines, coalesce(lines, '') lines from orders left join l on k = o_orderkey""")
 def _(spark, d):
     l = table(spark, d, "lineitem").withColumn("line", F.concat_ws(":", "l_linenumber", "l_partkey"))  # noqa: E741
     n = reports.nested(table(spark, d, "orders").select(F.col("o_orderkey").alias("id")), "id", {"lines": (l, "l_orderkey", ["l_linenumber", "line"])})
