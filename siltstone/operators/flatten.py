@@ -14,6 +14,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 CHILD_ROWS = "key long, child string, creator_pos int, item_pos int, name string, name_type string, value string"
 _CHILD_ARROW = pa.schema(
@@ -73,7 +74,8 @@ def flatten_creators(df: DataFrame, key: str = "seq", creators: str = "creators"
         for b in batches:
             yield from creator_rows(b.column(0).cast(pa.int64()), b.column(1).cast(CREATORS))
 
-    return df.select(key, creators).mapInArrow(run, CHILD_ROWS)
+    part = lambda c: F.when(c.isNotNull(), F.struct(*[c[f].alias(f) for f in ("name_type", "name", "identifiers", "affiliations")]))
+    return df.select(key, F.transform(creators, part)).mapInArrow(run, CHILD_ROWS)
 
 
 def _many(x: object) -> list | None:

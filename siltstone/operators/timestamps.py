@@ -34,6 +34,8 @@ BACKWARD_COST = 1.0
 LATER_INSTANT_COST = 16.0
 OTHER_ORDER_COST = 64.0
 BLOCK_ROWS = 65_536
+#: No notation is longer.
+LONGEST = 80
 
 # Zone abbreviations in minutes from UTC.
 ABBREVIATIONS = {
@@ -429,17 +431,16 @@ def choose_interpretations(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
     return done.unionByName(rest)
 
 
-def normalise_timestamps(df: DataFrame, value: str = "value", block_rows: int = BLOCK_ROWS) -> DataFrame:
+def normalise_timestamps(df: DataFrame, value: str = "value", emit: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(tab, row_key, src, seq, value) -> (tab, row_key, utc): the instant each
-    value names as yyyy-MM-ddTHH:mm:ssZ, fractions cut off. Values that name
-    none, or only against the conventions, have no row. Null, empty and overlong
-    values name none; other columns are ignored."""
-    d = df.withColumn("_len_ok", F.length(value) <= 80)
-    d = d.withColumn(value, F.when(F.col("_len_ok"), F.col(value))).select("tab", "row_key", "src", "seq", value)
-    if "emit" in df.columns:
-        d = df.withColumn(value, F.when(F.length(value) <= 80, F.col(value))).select("tab", "row_key", "src", "seq", value, "emit")
-    else:
-        d = d.withColumn("emit", F.lit(True))
-    chosen = choose_interpretations(with_interpretations(d, value), block_rows)
+    value names as yyyy-MM-ddTHH:mm:ssZ, fractions cut off.
+
+    Values that name none, or only against the conventions, have no row; nor have
+    rows for which emit is false, which count as context all the same. Null, empty
+    and overlong values name none; other columns are ignored.
+    """
+    wanted = F.lit(True) if emit is None else F.coalesce(emit, F.lit(False))
+    d = df.select("tab", "row_key", "src", "seq", F.when(F.length(value) <= LONGEST, F.col(value)).alias("value"), wanted.alias("emit"))
+    chosen = choose_interpretations(with_interpretations(d, "value"), block_rows)
     utc = F.date_format(F.timestamp_seconds("utc_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
     return chosen.where(conforming(F.col("fmt"))).select("tab", "row_key", utc.alias("utc"))

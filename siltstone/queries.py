@@ -26,8 +26,7 @@ def _date_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    values = _date_values(spark, d).withColumn("emit", F.coalesce(~F.col("value").rlike(CANONICAL), F.lit(False)))
-    return normalise_timestamps(values)
+    return normalise_timestamps(_date_values(spark, d), emit=~F.col("value").rlike(CANONICAL))
 
 
 def compact(c: Column) -> Column:

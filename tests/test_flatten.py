@@ -61,6 +61,11 @@ def test_shapes_of_one_record():
     assert canonical_creators({"creators": 5})[0]["name"] == "5"
 
 
+def test_fields_in_any_order(spark):
+    df = spark.createDataFrame([(1, [{"x": 1, "affiliations": ["u"], "name": "A", "identifiers": None, "name_type": None}])], "seq long, creators array<struct<x:int,affiliations:array<string>,name:string,identifiers:array<string>,name_type:string>>")
+    assert sorted((r.child, r.name, r.value) for r in flatten_creators(df).collect()) == [("affiliation", None, "u"), ("creator", "A", None)]
+
+
 def test_lone_surrogates(spark):
     df = spark.createDataFrame([(1, '{"creators": [{"name": "a\\ud83d"}]}')], "seq long, line string")
     assert [r.name for r in flatten_json_lines(df).collect()] == ["a?"]

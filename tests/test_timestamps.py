@@ -6,7 +6,7 @@ import pytest
 
 from siltstone.operators import timestamps as T
 
-SCHEMA = "tab string, row_key long, src string, seq long, value string, id int, cands string"
+SCHEMA = "tab string, row_key long, src string, seq long, value string, emit int, cands string"
 CASES = {
     "2020-01-02T03:04:05Z": "2020-01-02T03:04:05Z",
     "2020-01-02T24:00:00Z": "2020-01-03T00:00:00Z",
