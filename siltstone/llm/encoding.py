@@ -134,7 +134,7 @@ class Reader:
     def gains(self, before: str, run: str, after: str) -> dict[int, tuple[float, str]]:
         key = (before, run, after)
         if key not in self.seen:
-            if len(self.seen) > 200_000:
+            if len(self.seen) > 50_000:
                 self.seen.clear()
             # A symbol may end on an ASCII byte only in the multi-byte pages, whose traces are certain anyway.
             own = self.letters.score(before + run + after)
