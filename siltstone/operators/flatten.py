@@ -75,7 +75,7 @@ def flatten_creators(df: DataFrame, key: str = "seq", creators: str = "creators"
             yield from creator_rows(b.column(0).cast(pa.int64()), b.column(1).cast(CREATORS))
 
     part = lambda c: F.when(c.isNotNull(), F.struct(*[c[f].alias(f) for f in ("name_type", "name", "identifiers", "affiliations")]))
-    return df.select(key, F.transform(creators, part)).mapInArrow(run, CHILD_ROWS)
+    return df.select(F.col(key).alias("key"), F.transform(creators, part).alias("creators")).mapInArrow(run, CHILD_ROWS)
 
 
 def _many(x: object) -> list | None:
