@@ -294,12 +294,12 @@ def _(spark, d):
     return normalize.cascade_factors(asked, n).select("id", "ft", "topic_used", "year_used")
 
 
-@query("dindex_series", f"with {_INDEX} select id, cast(y as int) as \"year\", round(score, 5) score from ix")
+@query("impact_series", f"with {_INDEX} select id, cast(y as int) as \"year\", round(score, 5) score from ix")
 def _(spark, d):
     return _index(spark, d).select("id", "year", F.round("score", 5).alias("score"))
 
 
-@query("dindex_latest", f"with {_INDEX}, l as (select id, arg_max(score, y) score, max(y) y from ix group by 1) select l.id, d.identifier, d.identifierType, cast(l.y as int) as \"year\", round(l.score, 5) score from l join dataset d using (id)")
+@query("impact_latest", f"with {_INDEX}, l as (select id, arg_max(score, y) score, max(y) y from ix group by 1) select l.id, d.identifier, d.identifierType, cast(l.y as int) as \"year\", round(l.score, 5) score from l join dataset d using (id)")
 def _(spark, d):
     latest = impact.latest_index(_index(spark, d))
     return latest.join(table(spark, d, "dataset").select("id", "identifier", "identifierType"), "id").select("id", "identifier", "identifierType", "year", F.round("score", 5).alias("score"))
@@ -321,12 +321,12 @@ def _nation_links(spark: SparkSession, d: str) -> DataFrame:
     return _supplier_links(spark, d).join(s, "entity").select(F.col("s_nationkey").alias("entity"), "id")
 
 
-@query("sindex_user", f"with {_INDEX}{_CARRY.format(links=_SUPP)} select entity, cast(y as int) as \"year\", round(score, 4) score from s")
+@query("impact_users", f"with {_INDEX}{_CARRY.format(links=_SUPP)} select entity, cast(y as int) as \"year\", round(score, 4) score from s")
 def _(spark, d):
     return impact.entity_index(_supplier_links(spark, d), _index(spark, d), AS_OF).select("entity", "year", F.round("score", 4).alias("score"))
 
 
-@query("sindex_org", f"with {_INDEX}{_CARRY.format(links=_NAT)} select entity, cast(y as int) as \"year\", round(score, 3) score from s")
+@query("impact_orgs", f"with {_INDEX}{_CARRY.format(links=_NAT)} select entity, cast(y as int) as \"year\", round(score, 3) score from s")
 def _(spark, d):
     return impact.entity_index(_nation_links(spark, d), _index(spark, d), AS_OF).select("entity", "year", F.round("score", 3).alias("score"))
 
