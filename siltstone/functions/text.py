@@ -74,7 +74,8 @@ def strip_parentheses(c: Column) -> Column:
     n = lambda run: F.length(F.regexp_replace(run, r"[^()]", ""))
     k = F.least(n(F.regexp_extract(s, rf"^((?:\({SPACE}*)*)", 1)), n(F.regexp_extract(s, rf"((?:{SPACE}*\))*)$", 1))).cast("string")
     opened = F.regexp_replace(s, F.concat(F.lit(rf"^(?:\({SPACE}*){{"), k, F.lit("}")), F.lit(""))
-    return F.regexp_replace(opened, F.concat(F.lit(rf"(?:{SPACE}*\)){{"), k, F.lit("}$")), F.lit(""))
+    both = F.regexp_replace(opened, F.concat(F.lit(rf"(?:{SPACE}*\)){{"), k, F.lit("}$")), F.lit(""))
+    return F.when(s.startswith("(") & s.endswith(")"), both).otherwise(s)
 
 
 def affiliations(a: Column) -> Column:
@@ -82,9 +83,10 @@ def affiliations(a: Column) -> Column:
     return F.array_sort(F.transform(F.filter(F.coalesce(a, F.array().cast("array<string>")), lambda x: x.isNotNull() & (x != "")), strip_parentheses))
 
 
-def organization_key(c: Column) -> Column:
-    """An organisation's name without anything in parentheses, in lower case."""
-    return F.lower(strip(F.regexp_replace(strip_parentheses(c), r"\(.*?\)", "")))
+def organization_key(c: Column, stripped: bool = False) -> Column:
+    """An organisation's name without anything in parentheses, in lower case; stripped
+    says that strip_parentheses has been applied."""
+    return F.lower(strip(F.regexp_replace(c if stripped else strip_parentheses(c), r"\(.*?\)", "")))
 
 
 def doi_prefix(c: Column) -> Column:

@@ -46,7 +46,7 @@ def author_links(creators: DataFrame) -> DataFrame:
 def _orgs(creators: DataFrame) -> DataFrame:
     a = creators.select("id", "pos", F.posexplode("affiliations").alias("item", "raw"))
     a = a.select("id", "pos", "item", strip_parentheses(F.col("raw")).alias("name")).where("name is not null and name <> ''")
-    return a.withColumn("key", organization_key(F.col("name"))).where("key <> ''")
+    return a.withColumn("key", organization_key(F.col("name"), stripped=True)).where("key <> ''")
 
 
 def organizations(creators: DataFrame) -> DataFrame:
