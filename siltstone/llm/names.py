@@ -159,19 +159,19 @@ def slips(tokens: DataFrame, both_common: bool = False) -> DataFrame:
     return pairs.select("context", "x", "y", "nx", "ny").mapInPandas(alike, "context string, x string, y string, nx long, ny long")
 
 
-def components(edges: DataFrame, rounds: int = 30) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(a, b) -> (node, root): smallest node of each component, by passing on the
     smallest label and jumping to labels' labels; each round is written out."""
     both = materialise(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     label = materialise(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("root")), "labels")
-    for _ in range(rounds):
+    moving = not both.isEmpty()
+    while moving:
         near = both.join(label.select(F.col("node").alias("b"), "root"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         best = label.join(near, "node", "left").select("node", "root", F.least("root", F.coalesce("near", "root")).alias("low"))
         jump = label.select(F.col("node").alias("low"), F.col("root").alias("far"))
         new = materialise(best.join(jump, "low", "left").select("node", F.least("low", F.coalesce("far", "low")).alias("root"), (F.col("root") != F.least("low", F.coalesce("far", "low"))).alias("moved")), "labels")
         label = new.select("node", "root")
-        if new.where("moved").isEmpty():
-            break
+        moving = not new.where("moved").isEmpty()
     return label
 
 
