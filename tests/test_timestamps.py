@@ -24,6 +24,7 @@ CASES = {
     "2014-11-02T01:35:12 America/Chicago": "2014-11-02T06:35:12Z",
     "2020-03-08T02:10:00[America/Chicago]": "2020-03-08T08:10:00Z",
     "2020-03-08 02:10:00 Nowhere/City": None,
+    "2020-03-08 02:10:00 Etc/UTC": "2020-03-08T02:10:00Z",
     "05/13/2019": "2019-05-13T00:00:00Z",
     "13/05/2019": None,
     "03/04/2019": "2019-03-04T00:00:00Z",
