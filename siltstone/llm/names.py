@@ -307,13 +307,19 @@ def resolve_organisations(names: DataFrame, common_share: float = 0.004, tail_sh
     better = slips(lex).where("ny >= 1000000").groupBy(F.col("x").alias("word")).agg(F.min("y").alias("better"))
     w = words.join(tails, "word", "left").where("is_tail is null").join(better, "word", "left").withColumn("word", F.coalesce("better", "word"))
     w = w.join(lexicon.withColumn("common", F.lit(True)), "word", "left")
+    w = w.join(stats, "word", "left")
+    rare = F.col("common").isNull()
+    is_last = F.col("word") == F.col("last")
     sig = w.groupBy("name").agg(
         F.concat_ws(" ", F.array_sort(F.collect_set(F.when(F.col("common"), F.col("word"))))).alias("what"),
-        F.array_sort(F.collect_set(F.when(F.col("common").isNull(), F.col("word")))).alias("rare"),
+        F.array_sort(F.collect_set(F.when(rare, F.col("word")))).alias("rare"),
         F.first("last").alias("last"),
+        F.bool_or(rare & is_last & (F.col("tail") >= 0.9)).alias("only_behind"),
+        F.bool_or(rare & ~is_last & (F.col("n") >= 2)).alias("has_place"),
     )
-    # Behind the place, one more rare word after the last comma only says where the place is.
-    place = F.when(F.size("rare") > 1, F.array_except("rare", F.array("last"))).otherwise(F.col("rare"))
+    # A rare word that only ever stands behind the last comma, with a place that
+    # other names know in front of it, only says where the place is.
+    place = F.when(F.col("only_behind") & F.col("has_place"), F.array_except("rare", F.array("last"))).otherwise(F.col("rare"))
     sig = sig.select("name", "what", F.concat_ws(" ", place).alias("where_"))
     sig = materialise(sig, "organisation-parts")
     tokens = sig.groupBy(F.col("where_").alias("token"), F.col("what").alias("context")).agg(F.count("*").alias("n"))

@@ -37,6 +37,12 @@ def test_organisations(spark):
     assert got == sorted(map(sorted, [a, b, c]))
 
 
+def test_a_place_behind_a_comma_is_no_mere_addition(spark):
+    """An unknown short form and a place behind the comma: the places still tell them apart."""
+    names = ["Hsop Gen, Plezeport", "Hsop Gen, Whavedoholm", "Plezeport General Hospital", "Whavedoholm General Hospital", "Tirland General Hospital, Plezeport"]
+    assert not any({"Hsop Gen, Plezeport", "Hsop Gen, Whavedoholm"} <= set(g) for g in one(spark, N.resolve_organisations, names))
+
+
 def test_pairs(spark):
     df = spark.createDataFrame([("b", "e"), ("a", "e"), ("Z", "e"), ("q", "f"), ("a", "e")], "name string, entity string")
     assert sorted(map(tuple, N.same_entity_pairs(df).collect())) == [("Z", "a"), ("Z", "b"), ("a", "b")]
