@@ -53,8 +53,8 @@ def _subfield() -> Column:
 
 
 def _norms(spark: SparkSession, d: str) -> DataFrame:
-    """Medians of scores by subfield and every other year, and a DEFAULT series."""
-    s = _scored(spark, d).where("score is not null and pubYear > 0 and pubYear % 2 = 0").select(F.coalesce(_subfield(), F.lit(normalize.DEFAULT)).alias("subfield_id"), F.col("pubYear").alias("pubyear"), "score")
+    """Medians of scores by subfield and year, and a DEFAULT series."""
+    s = _scored(spark, d).where("score is not null and pubYear > 0").select(F.coalesce(_subfield(), F.lit(normalize.DEFAULT)).alias("subfield_id"), F.col("pubYear").alias("pubyear"), "score")
     every = s.unionByName(s.withColumn("subfield_id", F.lit(normalize.DEFAULT)))
     return every.groupBy("subfield_id", "pubyear").agg(F.round(F.median("score"), 4).alias("ft"), F.lit(2.0).alias("ctw"), F.lit(None).cast("double").alias("mtw"))
 
