@@ -497,7 +497,7 @@ _AFTER = "af as (select id, publisherId, case when id % 7 <> 0 then cast(length(
 
 @query("fuji_consistency", f"with {_SCORED}, {_AFTER}, s as (select * from sd where id % 5 = 0) select s.publisherId, count(*) n, count(af.score) n_after, coalesce(string_agg(distinct printf('%.2f', s.score), ',') filter (s.score is not null) is not null, false) and count(distinct s.score) = 1 beforeConsistent, count(distinct af.score) = 1 afterConsistent, case when count(distinct af.score) = 1 then max(af.score) end score from s left join af using (id) group by 1")
 def _(spark, d):
-    c = fair.consistency(_scored(spark, d).where("id % 5 = 0").select("publisherId", "id", "score"), _after(spark, d))
+    c = fair.consistency(_scored(spark, d).select("publisherId", "id", "score"), _after(spark, d))
     return c.select("publisherId", "n", "n_after", "beforeConsistent", "afterConsistent", "score")
 
 
@@ -577,7 +577,7 @@ def _(spark, d):
 
 @query("analysis_totals", f"with {_SCORED}, {_AFTER}, s as (select * from sd where id % 5 = 0), g as (select s.publisherId, count(distinct af.score) k, count(*) n from s left join af using (id) group by 1) select k = 1 consistent, count(*) n_publishers, cast(sum(n) as bigint) n_datasets from g group by 1")
 def _(spark, d):
-    c = fair.consistency(_scored(spark, d).where("id % 5 = 0").select("publisherId", "id", "score"), _after(spark, d))
+    c = fair.consistency(_scored(spark, d).select("publisherId", "id", "score"), _after(spark, d))
     return reports.totals(c, "afterConsistent", "n").select(F.col("afterConsistent").alias("consistent"), F.col("n_rows").alias("n_publishers"), F.col("total").alias("n_datasets"))
 
 

@@ -25,3 +25,11 @@ def test_odd_years_have_factors_and_missing_years_take_the_latest_before(spark,
     assert got == {
         1: (15.0, "Exact Year"), 2: (15.0, "Exact Year"), 3: (40.0, "Exact Year"), 4: (15.0, "Closest Past Year"), 5: (40.0, "Closest Past Year"), 6: (15.0, "Default"), 7: (13.46, None),
     }
+
+
+def test_consistency_is_of_all_datasets(spark, scored):
+    """p disagrees only at ids that 5 doesn't divide, q has no other."""
+    d = scored([(5, "p", 2001, "a", 10.0), (10, "p", 2001, "a", 10.0), (11, "p", 2001, "a", 12.0), (1, "q1", 2001, "a", 9.0), (2, "q1", 2001, "a", 9.0)])
+    got = {r.publisherId: (r.n, r.n_after, r.beforeConsistent, r.afterConsistent) for r in QUERIES["fuji_consistency"](spark, d).collect()}
+    assert got == {"p": (3, 3, False, False), "q1": (2, 2, True, True)}
+    assert sorted(map(tuple, QUERIES["analysis_totals"](spark, d).collect())) == [(False, 1, 3), (True, 1, 2)]
