@@ -251,7 +251,7 @@ def _(spark, d):
 def _(spark, d):
     t = _topics(spark, d)
     old = merge.best_per_key(t.where("seq % 3 = 0"), ["datasetId"], "score", [F.col("seq")])
-    return merge.upsert(old, t.where("seq % 3 = 1"), ["datasetId"], "seq").select("datasetId", "topicId", "score")
+    return merge.upsert(old, t.where("seq % 3 <> 0"), ["datasetId"], "seq").select("datasetId", "topicId", "score")
 
 
 @query("topic_conditional_upsert", f"""with {_TOPICS}, o as (select * from t where seq % 3 = 0 qualify row_number() over (partition by datasetId order by score desc nulls last, seq) = 1)
@@ -259,7 +259,7 @@ def _(spark, d):
 def _(spark, d):
     t = _topics(spark, d)
     old = merge.best_per_key(t.where("seq % 3 = 0"), ["datasetId"], "score", [F.col("seq")])
-    return merge.upsert_if_higher(old, t.where("seq % 3 = 1"), ["datasetId"], "score", "seq").select("datasetId", "topicId", "score")
+    return merge.upsert_if_higher(old, t.where("seq % 3 <> 0"), ["datasetId"], "score", "seq").select("datasetId", "topicId", "score")
 
 
 @query("job_insert_if_absent", "select distinct datasetId from fuji_score where seq % 2 = 1 and datasetId is not null and datasetId not in (select datasetId from fuji_score where seq % 2 = 0 and datasetId is not null)")

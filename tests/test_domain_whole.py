@@ -33,3 +33,11 @@ def test_consistency_is_of_all_datasets(spark, scored):
     got = {r.publisherId: (r.n, r.n_after, r.beforeConsistent, r.afterConsistent) for r in QUERIES["fuji_consistency"](spark, d).collect()}
     assert got == {"p": (3, 3, False, False), "q1": (2, 2, True, True)}
     assert sorted(map(tuple, QUERIES["analysis_totals"](spark, d).collect())) == [(False, 1, 3), (True, 1, 2)]
+
+
+def test_each_topic_row_is_target_or_incoming(spark, tmp_path):
+    """l_orderkey 0, so seq is the line number; dataset 3 stands only where seq % 3 = 2."""
+    lines = [(0, 1, 3, 0.1, "A", "F"), (0, 1, 4, 0.2, "B", "F"), (0, 1, 5, 0.3, "C", "F"), (0, 2, 6, 0.4, "D", "F"), (0, 3, 2, 0.5, "E", "F")]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_tax double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("topic_upsert", "topic_conditional_upsert"):
+        assert sorted(map(tuple, QUERIES[name](spark, str(tmp_path)).collect())) == [(1, "CF", 0.3), (2, "DF", 0.4), (3, "EF", 0.5)], name
