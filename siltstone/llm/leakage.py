@@ -212,15 +212,23 @@ def passage(doc: np.ndarray, item: np.ndarray, own: np.ndarray) -> tuple[int, in
             score[k], back[k] = via[j] + 1, lo + j
     best = (0, 0)
     used = np.zeros(n, bool)
-    for k in np.argsort(-score, kind="stable")[:8]:
-        if used[k] or score[k] < WINDOW / 2:
+    first = np.arange(n)
+    for k in range(1, n):
+        if back[k] >= 0:
+            first[k] = first[back[k]]
+    # No passage is longer than its chain reaches in the item.
+    reach = i - i[first] + 1
+    for k in np.argsort(-score, kind="stable"):
+        if score[k] < WINDOW / 2:
+            break
+        if used[k] or reach[k] < max(WINDOW, best[0]):
             continue
         chain = [int(k)]
         while back[chain[-1]] >= 0:
             chain.append(int(back[chain[-1]]))
         chain = np.array(chain[::-1])
         used[chain] = True
-        best = max(best, _longest(d[chain], i[chain], own))
+        best = max(best, _longest(d[chain], i[chain], own), key=lambda x: (x[0], -x[1]))
     return best
 
 

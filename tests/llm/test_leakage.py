@@ -73,3 +73,13 @@ def test_prefixes_lose_no_passage():
             w[i] = len(block.vocabulary)
         whole = L.np.searchsorted(block.shingles, block.keys(w)[[i for i in range(14) if (w[i : i + 3] < len(block.vocabulary)).all()]])
         assert set(whole.tolist()) & prefix[k]
+
+
+def test_a_passage_beside_a_longer_text_of_the_same_make():
+    """The better chain keeps too few own words; its ends come before the passage's."""
+    doc = L.np.concatenate([L.np.arange(20, 60), L.np.full(10, -1), L.np.arange(20)])
+    assert L.passage(doc, L.np.arange(60), L.np.arange(60) < 20) == (20, 0)
+    assert L.passage(doc[:50], L.np.arange(60), L.np.arange(60) < 20) == (0, 0)
+    altered = L.np.arange(20)
+    altered[[5, 12]] = -1
+    assert L.passage(L.np.concatenate([altered, L.np.full(10, -1), L.np.arange(20)]), L.np.arange(60), L.np.arange(60) < 20) == (20, 0)
