@@ -2,14 +2,14 @@
 
 An unknown swap of code pages is treated as a substitution cipher: its symbols
 are what the bytes of a letter look like in the wrong page, one character or
-several. Which cipher a source uses, what its symbols stand for and how letters
-follow each other in clean text are learned together by expectation-maximisation
-against letter bigrams, counted over all texts. A text's units are its runs of
+several. Which cipher a source uses and how letters follow each other in clean
+text are learned together by expectation-maximisation against letter bigrams,
+counted over all texts. A text's units are its runs of
 characters beyond ASCII with their neighbours; under each cipher a unit reads as
 other letters, and the gain in bigram likelihood, summed over the units that
-gain, weighs the ciphers of the text against its being clean. The code pages
-that Python knows give the ciphers' support; their shares per source and the
-symbol tables are estimates. Ciphers of one character per letter are applied
+gain, weighs the ciphers of the text against its being clean. The ciphers
+are enumerated from a fixed list of Python's code pages; their shares per source
+are estimates, the symbol tables repeat what the code pages give. Ciphers of one character per letter are applied
 with translate(), others by the same table over longer symbols.
 """
 
