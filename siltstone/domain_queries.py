@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from siltstone.functions import text as X
 from siltstone.plans import entities, fair, impact, ingest, merge, normalize, reports, resolve
+from siltstone.runtime import materialise
 from siltstone.runtime import read_table as table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,7 +105,7 @@ _RES = f"{_MAP}, {_CIT}, r as (select c.*, m.datasetId from c join m using (k))"
 _SCORES = """sc as (select datasetId, case when isnan(score) then null else score end score, evaluationDate, coalesce(nullif(trim(metricVersion),''),'estimated') metricVersion,
   coalesce(nullif(trim(softwareVersion),''),'estimated') softwareVersion from (select *, row_number() over (partition by datasetId order by seq desc) n from fuji_score where datasetId is not null) where n = 1)"""
 _SCORED = _SCORES + """, sd as (select d.id, identifier, identifierType, coalesce(publisherId,'unknown') publisherId, pubYear, lower(subjects[1]) subfield, publishedAt, score from dataset d left join sc on sc.datasetId = d.id)"""
-_NORMS = """n0 as (select coalesce(subfield,'DEFAULT') subfield_id, pubYear pubyear, score from sd where score is not null and pubYear > 0 and pubYear % 2 = 0),
+_NORMS = """n0 as (select coalesce(subfield,'DEFAULT') subfield_id, pubYear pubyear, score from sd where score is not null and pubYear > 0),
 norms as (select subfield_id, pubyear, round(median(score),4) ft, 2.0 ctw, cast(null as double) mtw from (select * from n0 union all select 'DEFAULT', pubyear, score from n0) group by 1, 2)"""
 _FACTORS = """req as (select id, coalesce(nullif(subfield,''),'DEFAULT') subfield, case when pubYear > 0 then pubYear end "year" from sd),
 own as (select req.id, max(n.pubyear) py from req join norms n on n.subfield_id = req.subfield and n.subfield_id <> 'DEFAULT' and n.pubyear <= req."year" group by 1),
@@ -213,10 +214,7 @@ def _(spark, d):
 @query("citation_first_weight", f"with {_RES} select datasetId, {_LINK} citationLink, arg_min(w, seq) filter (w is not null) citationWeight from (select *, case when isnan(citation_weight) then null else citation_weight end w from r) where {_LINK} <> '' group by 1, 2")
 def _(spark, d):
     r = _resolved(spark, d)
-    by = merge.citations_by_link(r, weight="max").select("datasetId", "citationLink")
-    w = r.select("datasetId", X.clean_link(F.col("citation_link")).alias("citationLink"), F.nanvl("citation_weight", F.lit(None).cast("double")).alias("w"), "seq").where("w is not null")
-    first = w.groupBy("datasetId", "citationLink").agg(F.min_by("w", "seq").alias("citationWeight"))
-    return by.join(first, ["datasetId", "citationLink"], "left")
+    return merge.citations_by_link(r, weight="first").select("datasetId", "citationLink", "citationWeight")
 
 
 _MENTION = f"""with {_RES}, base as (select datasetId, {_LINK} mentionLink, citation_date dt, seq, source from r where {_LINK} <> ''),
@@ -246,7 +244,7 @@ def _(spark, d):
 
 
 @query("topic_upsert", f"""with {_TOPICS}, o as (select * from t where seq % 3 = 0 qualify row_number() over (partition by datasetId order by score desc nulls last, seq) = 1),
- i as (select * from t where seq % 3 = 1 qualify row_number() over (partition by datasetId order by seq desc) = 1)
+ i as (select * from t where seq % 3 <> 0 qualify row_number() over (partition by datasetId order by seq desc) = 1)
  select datasetId, topicId, score from i union all select datasetId, topicId, score from o where datasetId not in (select datasetId from i)""")
 def _(spark, d):
     t = _topics(spark, d)
@@ -255,7 +253,7 @@ def _(spark, d):
 
 
 @query("topic_conditional_upsert", f"""with {_TOPICS}, o as (select * from t where seq % 3 = 0 qualify row_number() over (partition by datasetId order by score desc nulls last, seq) = 1)
- select datasetId, topicId, score from (select *, 0 n from o union all select *, 1 from t where seq % 3 = 1) qualify row_number() over (partition by datasetId order by score desc nulls last, n, seq) = 1""")
+ select datasetId, topicId, score from (select *, 0 n from o union all select *, 1 from t where seq % 3 <> 0) qualify row_number() over (partition by datasetId order by score desc nulls last, n, seq) = 1""")
 def _(spark, d):
     t = _topics(spark, d)
     old = merge.best_per_key(t.where("seq % 3 = 0"), ["datasetId"], "score", [F.col("seq")])
@@ -331,22 +329,14 @@ def _(spark, d):
     return impact.entity_index(_nation_links(spark, d), _index(spark, d), AS_OF).select("entity", "year", F.round("score", 3).alias("score"))
 
 
-_RANK = ", nc as (select datasetId id, count(*) n from r group by 1), pe as (select entity, count(*) n_datasets, cast(coalesce(sum(n),0) as bigint) n_citations from lk left join nc using (id) group by 1), la as (select entity, arg_max(score, y) score from s group by 1) select entity, n_datasets, n_citations, round(score, 3) score from pe join la using (entity) where n_datasets > 5 and n_citations > 5 and score / n_datasets > 1"
+_TOP = 100
 
 
-def _ranked(spark: SparkSession, d: str, links: DataFrame) -> DataFrame:
+def _ranked(spark: SparkSession, d: str, links: DataFrame, named: DataFrame) -> DataFrame:
     per = _cited(spark, d).groupBy("id").agg(F.count("*").alias("n"))
-    return reports.ranked_entities(links, per, impact.entity_index(links, _index(spark, d), AS_OF)).select("entity", "n_datasets", "n_citations", F.round("score", 3).alias("score"))
-
-
-@query("top_users", f"with {_INDEX}{_CARRY.format(links=_SUPP)}{_RANK}")
-def _(spark, d):
-    return _ranked(spark, d, _supplier_links(spark, d))
-
-
-@query("top_orgs", f"with {_INDEX}{_CARRY.format(links=_NAT)}{_RANK}")
-def _(spark, d):
-    return _ranked(spark, d, _nation_links(spark, d))
+    shared = materialise(links, "links")
+    ranked = reports.ranked_entities(shared, per, impact.entity_index(shared, _index(spark, d), AS_OF))
+    return reports.top_ranked(ranked.join(named, "entity"), ["score"], "entity", _TOP)
 
 
 @query("top_datasets_by_mentions", f"""with {_INDEX}, mn as (select cast(event_id % 2000 as int) id, count(*) n_mentions, sum("value" / 100) w from events group by 1 having count(*) > 1), nc as (select datasetId id, count(*) n from r group by 1), la as (select id, arg_max(score, y) score from ix group by 1)
@@ -425,13 +415,35 @@ def _(spark, d):
     return _org_links(spark, d)
 
 
+_RANKED = """, nc as (select datasetId id, count(*) n from r group by 1), pe as (select entity, count(*) n_datasets, cast(coalesce(sum(n),0) as bigint) n_citations from lk left join nc using (id) group by 1),
+ la as (select entity, arg_max(score, y) score, max(y) y from s group by 1), rk as (select entity, n_datasets, n_citations, round(score, 3) score, cast(y as int) as "year" from pe join la using (entity) where n_datasets > 5 and n_citations > 5 and score / n_datasets > 1)"""
+_LINKED = _RECORD.replace(f", {_MAP}", "")
+
+
+@query("top_users", _AUTH + ", " + _INDEX + _LINKED + _CARRY.format(links="lk as (select distinct k.kk entity, rd.id from k join rd on rd.seq = k.id)") + _RANKED + f"""
+ , nm as (select kk entity, arg_min(nm, (id, pos)) "name", arg_min(array_to_string(afs[1:2], '; '), (id, pos)) affiliations from k group by 1) select rk.*, "name", affiliations from rk join nm using (entity) order by score desc, entity limit {_TOP}""")
+def _(spark, d):
+    named = entities.authors(_creators(spark, d)).select(F.col("key").alias("entity"), "name", X.first_two(F.col("affiliations")).alias("affiliations"))
+    return _ranked(spark, d, _user_links(spark, d), named).select("entity", "name", "affiliations", "n_datasets", "n_citations", "score", "year")
+
+
+@query("top_orgs", _ORGS.replace("with c as (", "with oc as (").replace("from c)", "from oc)") + ", " + _INDEX + _LINKED + _CARRY.format(links="lk as (select distinct k.kk entity, rd.id from k join rd on rd.seq = k.id where k.kk <> '')") + _RANKED + f"""
+ , nm as (select kk entity, arg_min(nm, (id, pos, item)) "name" from k where kk <> '' group by 1) select rk.*, "name" from rk join nm using (entity) order by score desc, entity limit {_TOP}""")
+def _(spark, d):
+    named = entities.organizations(_creators(spark, d)).select(F.col("key").alias("entity"), "name")
+    return _ranked(spark, d, _org_links(spark, d), named).select("entity", "name", "n_datasets", "n_citations", "score", "year")
+
+
 @query("raw_ingest", f"""with u as (select seq, unnest(identifiers) x, generate_subscripts(identifiers, 1) p from raw_datacite), v as (select seq, p, lower(trim({_CTRL.format('x.identifier')})) i, lower(coalesce(x.identifier_type, x."identifierType", '')) t from u),
  f as (select * from v where i <> '' qualify row_number() over (partition by seq order by p) = 1)
  select seq id, {_CTRL.format('source')} source, i identifier, t identifierType, coalesce(title,'') title, {_CTRL.format('description')} description, {_CTRL.format('"version"')} "version", {_CTRL.format('publisher')} publisher,
- coalesce(nullif({_CTRL.format('publisher_id')}, ''), 'unknown') publisherId, coalesce(try_cast(pubyear as int), 0) pubYear from raw_datacite join f using (seq)""")
+ coalesce(nullif({_CTRL.format('publisher_id')}, ''), 'unknown') publisherId, coalesce(try_cast(pubyear as int), 0) pubYear,
+ strftime(coalesce(case when {_ISO.format('pd')} then try_cast(pd as timestamptz) at time zone 'UTC' end, timestamp '1970-01-01'), '%Y-%m-%d %H:%M:%S') publishedAt, array_to_string(list_transform(subjects, lambda x: coalesce(x, '')), '|') subjects
+ from (select *, regexp_replace(regexp_replace(publication_date, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g'), '[+-](1[5-9]|[2-9]\\d):?\\d{{2}}$', '') pd from raw_datacite) join f using (seq)""")
 def _(spark, d):
     ds, _bad = ingest.ingest(table(spark, d, "raw_datacite"))
-    return ds.select("id", "source", "identifier", "identifierType", "title", "description", "version", "publisher", "publisherId", "pubYear")
+    return ds.select("id", "source", "identifier", "identifierType", "title", "description", "version", "publisher", "publisherId", "pubYear",
+        F.date_format("publishedAt", "yyyy-MM-dd HH:mm:ss").alias("publishedAt"), F.array_join("subjects", "|", "").alias("subjects"))
 
 
 @query("raw_quarantine", f"""with u as (select seq, unnest(identifiers) x from raw_datacite), g as (select distinct seq from u where trim({_CTRL.format('x.identifier')}) <> '') select seq, 'no identifier' reason from raw_datacite where seq not in (select seq from g)""")
@@ -495,10 +507,13 @@ def _after(spark: SparkSession, d: str) -> DataFrame:
 _AFTER = "af as (select id, publisherId, case when id % 7 <> 0 then cast(length(publisherId) + case when publisherId like '%1' then 0 else id % 3 end as double) end score from sd)"
 
 
-@query("fuji_consistency", f"with {_SCORED}, {_AFTER}, s as (select * from sd where id % 5 = 0) select s.publisherId, count(*) n, count(af.score) n_after, coalesce(string_agg(distinct printf('%.2f', s.score), ',') filter (s.score is not null) is not null, false) and count(distinct s.score) = 1 beforeConsistent, count(distinct af.score) = 1 afterConsistent, case when count(distinct af.score) = 1 then max(af.score) end score from s left join af using (id) group by 1")
+_LISTED = "coalesce(array_to_string(list_transform(list_sort(list_distinct(list({0}) filter ({0} is not null))), lambda x: printf('%.2f', x)), ','), '')"
+
+
+@query("fuji_consistency", f"with {_SCORED}, {_AFTER}, s as (select * from sd) select s.publisherId, count(*) n, count(af.score) n_after, {_LISTED.format('s.score')} beforeUniqueScores, {_LISTED.format('af.score')} afterUniqueScores, count(distinct s.score) = 1 beforeConsistent, count(distinct af.score) = 1 afterConsistent, case when count(distinct af.score) = 1 then max(af.score) end score from s left join af using (id) group by 1")
 def _(spark, d):
     c = fair.consistency(_scored(spark, d).select("publisherId", "id", "score"), _after(spark, d))
-    return c.select("publisherId", "n", "n_after", "beforeConsistent", "afterConsistent", "score")
+    return c.select("publisherId", "n", "n_after", "beforeUniqueScores", "afterUniqueScores", "beforeConsistent", "afterConsistent", "score")
 
 
 @query("fuji_extrapolate", f"with {_SCORED}, {_AFTER}, m as (select publisherId, median(distinct score) nw, count(distinct score) k from af where score is not null group by 1) select sd.id, m.nw score, '0.8' metricVersion, case when k = 1 then 'extrapolated' else 'extrapolated-inconsistent' end softwareVersion from sd join m using (publisherId) where case when k = 1 then sd.score is distinct from m.nw else coalesce(sd.score < 14, false) end")
@@ -575,7 +590,7 @@ def _(spark, d):
     return reports.latest_per_dataset(l).select("datasetId", "score", "year")
 
 
-@query("analysis_totals", f"with {_SCORED}, {_AFTER}, s as (select * from sd where id % 5 = 0), g as (select s.publisherId, count(distinct af.score) k, count(*) n from s left join af using (id) group by 1) select k = 1 consistent, count(*) n_publishers, cast(sum(n) as bigint) n_datasets from g group by 1")
+@query("analysis_totals", f"with {_SCORED}, {_AFTER}, s as (select * from sd), g as (select s.publisherId, count(distinct af.score) k, count(*) n from s left join af using (id) group by 1) select k = 1 consistent, count(*) n_publishers, cast(sum(n) as bigint) n_datasets from g group by 1")
 def _(spark, d):
     c = fair.consistency(_scored(spark, d).select("publisherId", "id", "score"), _after(spark, d))
     return reports.totals(c, "afterConsistent", "n").select(F.col("afterConsistent").alias("consistent"), F.col("n_rows").alias("n_publishers"), F.col("total").alias("n_datasets"))
@@ -587,9 +602,10 @@ def _(spark, d):
     return one("raw_datacite").unionByName(one("raw_emdb"))
 
 
-@query("set_difference", "select id from dataset except select datasetId from identifier_map")
+@query("set_difference", "select datasetId id from identifier_map where datasetId is not null except select id from dataset")
 def _(spark, d):
-    return table(spark, d, "dataset").select("id").join(table(spark, d, "identifier_map").select(F.col("datasetId").alias("id")), "id", "left_anti").distinct()
+    ids = table(spark, d, "identifier_map").where("datasetId is not null").select(F.col("datasetId").alias("id"))
+    return ids.join(table(spark, d, "dataset").select("id"), "id", "left_anti").distinct()
 
 
 @query("semi_join", "select seq, datasetId, score from fuji_score where datasetId in (select datasetId from identifier_map where identifierType = 'emdb_id')")

@@ -15,11 +15,11 @@ FLAGS = {"datacite": "datacite", "mdc": "mdc", "openAlex": "openalex"}
 def citations_by_link(rows: DataFrame, weight: str = "max") -> DataFrame:
     """(datasetId, citation_link, source, citation_weight, citation_date, seq) ->
     one row for each dataset and cleaned link: flags of all, the largest weight or
-    the first, and the first date. Rows whose link has nothing left are left out."""
+    the first that is there, and the first date. Rows whose link has nothing left are left out."""
     src = lower_sources(F.col("source"))
     r = rows.select("datasetId", clean_link(F.col("citation_link")).alias("citationLink"), src.alias("src"), F.nanvl("citation_weight", F.lit(None).cast("double")).alias("w"), F.col("citation_date").alias("citedDate"), "seq")
     r = r.where("citationLink is not null and citationLink <> ''")
-    w = F.max("w") if weight == "max" else F.min_by("w", "seq")
+    w = F.max("w") if weight == "max" else F.min_by("w", F.when(F.col("w").isNotNull(), F.col("seq")))
     flags = [F.bool_or(F.array_contains("src", name)).alias(flag) for flag, name in FLAGS.items()]
     return r.groupBy("datasetId", "citationLink").agg(*flags, w.alias("citationWeight"), F.min_by(F.struct("citedDate"), "seq").alias("d"), F.min("seq").alias("seq")).select(
         "datasetId", "citationLink", *FLAGS, "citationWeight", F.col("d.citedDate").alias("citedDate"), "seq"

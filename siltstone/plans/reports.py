@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,11 +40,17 @@ def ranked_entities(links: DataFrame, citations_per_dataset: DataFrame, index: D
     Citations are counted per dataset before the links fan them out."""
     l = links.select("entity", "id").distinct()  # noqa: E741
     per = l.join(citations_per_dataset, "id", "left").groupBy("entity").agg(F.count("*").alias("n_datasets"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n_citations"))
-    latest = index.groupBy("entity").agg(F.max_by("score", "year").alias("score"))
+    latest = index.groupBy("entity").agg(F.max_by("score", "year").alias("score"), F.max("year").alias("year"))
     j = per.where((F.col("n_datasets") > least_datasets) & (F.col("n_citations") > least_citations)).join(latest, "entity")
     return j.withColumn("mean", F.try_divide("score", F.nullif("n_datasets", F.lit(0)))).where(F.col("mean") > least_mean)
 
 
+def top_ranked(ranked: DataFrame, by: list[str], tie: str, limit: int, digits: int = 3) -> DataFrame:
+    """The first rows of a ranking: largest first, rounded, ties by name; the limit is the report's."""
+    rounded = ranked.withColumns({c: F.round(c, digits) for c in by})
+    return rounded.orderBy(*[F.desc_nulls_last(c) for c in by], tie).limit(limit)
+
+
 def ranked_datasets(datasets: DataFrame, mentions: DataFrame, citations: DataFrame, latest: DataFrame, least: int = 1) -> DataFrame:
     """Datasets by mentions: more than `least`, with the sum of weights, citations and latest score."""
     m = mentions.groupBy("id").agg(F.count("*").alias("n_mentions"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("mention_weight")).where(F.col("n_mentions") > least)
@@ -85,6 +93,8 @@ def shuffled(df: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def source_map(df: DataFrame, key: str, value: str, name: str) -> str:
-    """A small table as the source text of a constant map, in key order."""
+    """A small table as the source text of a constant map, in key order; keys and
+    values are JSON literals, which scripts read as they are."""
     rows = df.select(key, value).orderBy(key).collect()
-    return f"export const {name} = {{\n" + "".join(f"  {r[0]!r}: {r[1]!r},\n" for r in rows) + "};\n"
+    text = lambda x: json.dumps(x, ensure_ascii=False, default=str)
+    return f"export const {name} = {{\n" + "".join(f"  {text(str(r[0]))}: {text(r[1])},\n" for r in rows) + "};\n"
