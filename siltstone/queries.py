@@ -97,21 +97,25 @@ _P5 = """
 with c as (select seq, unnest(creators) c, generate_subscripts(creators, 1) - 1 creator_pos from raw_datacite),
 e as (select seq, try_cast(line as json) j from raw_emdb where json_valid(line) and json_type(line) = 'OBJECT'),
 ec0 as (select seq, case json_type(json_extract(j, '$.creators')) when 'ARRAY' then cast(json_extract(j, '$.creators') as json[]) when 'NULL' then null else [json_extract(j, '$.creators')] end l from e where json_exists(j, '$.creators')),
-ec as (select seq, unnest(l) c, generate_subscripts(l, 1) - 1 creator_pos from ec0),
+ec as (select *, case when json_type(c) <> 'OBJECT' then c->>'$' when json_type(n) <> 'OBJECT' then n->>'$' else coalesce(n->>'name', concat_ws(', ', n->>'family', n->>'given')) end name,
+  case when json_type(c) = 'OBJECT' then coalesce(c->>'name_type', c->>'nameType') end name_type from (select *, json_extract(c, '$.name') n from (select seq, unnest(l) c, generate_subscripts(l, 1) - 1 creator_pos from ec0))),
 ek as (select seq, creator_pos, child, case json_type(v) when 'ARRAY' then cast(v as json[]) when 'NULL' then null else [v] end l from (
   select seq, creator_pos, 'identifier' child, json_extract(c, '$.identifiers') v from ec where json_type(c) <> 'NULL' union all select seq, creator_pos, 'affiliation', json_extract(c, '$.affiliations') from ec where json_type(c) <> 'NULL') where v is not null),
-ei as (select seq, creator_pos, child, unnest(l) v, generate_subscripts(l, 1) - 1 item_pos from ek),
+ei as (select *, case when json_type(v) <> 'OBJECT' then v->>'$' when child = 'identifier' then coalesce(v->>'value', v->>'identifier') else v->>'name' end said from (select seq, creator_pos, child, unnest(l) v, generate_subscripts(l, 1) - 1 item_pos from ek)),
 i as (select seq, creator_pos, 'identifier' child, unnest(c.identifiers) v, generate_subscripts(c.identifiers, 1) - 1 item_pos from c
-  union all select seq, creator_pos, 'affiliation', unnest(c.affiliations), generate_subscripts(c.affiliations, 1) - 1 from c)
-select 'raw_datacite' tab, seq, 'creator' child, cast(creator_pos as int) creator_pos, cast(-1 as int) item_pos from c where c is not null
-union all select 'raw_datacite', seq, child, cast(creator_pos as int), cast(item_pos as int) from i where v is not null
-union all select 'raw_emdb', seq, 'creator', cast(creator_pos as int), cast(-1 as int) from ec where json_type(c) <> 'NULL'
-union all select 'raw_emdb', seq, child, cast(creator_pos as int), cast(item_pos as int) from ei where json_type(v) <> 'NULL'
+  union all select seq, creator_pos, 'affiliation', unnest(c.affiliations), generate_subscripts(c.affiliations, 1) - 1 from c),
+every as (
+select 'raw_datacite' tab, seq, 'creator' child, cast(creator_pos as int) creator_pos, cast(-1 as int) item_pos, c."name" "name", c.name_type name_type, null as "value" from c where c is not null
+union all select 'raw_datacite', seq, child, cast(creator_pos as int), cast(item_pos as int), null, null, v from i where v is not null
+union all select 'raw_emdb', seq, 'creator', cast(creator_pos as int), cast(-1 as int), name, name_type, null from ec where json_type(c) <> 'NULL'
+union all select 'raw_emdb', seq, child, cast(creator_pos as int), cast(item_pos as int), null, null, said from ei where json_type(v) <> 'NULL')
 """
+_P5_ROWS = "select tab, seq, child, creator_pos, item_pos{} from every"
 ORACLE: dict[str, str] = {
     "p2_found": _P2 + "select * from found",
     "p2_current": _P2 + """ select 'citations' tab, k as "key", count(*) n_references from refs where k not in (select k from ids where deleted_at is null) group by 2
  union all select tab, cast(datasetId as varchar), count(*) from d where datasetId not in (select id from dataset) group by 1, 2""",
     "p2_report": _P2 + "select tab, period, reason, count(*) n_orphans from found group by all",
-    "p5_found": _P5,
+    "p5_found": _P5 + _P5_ROWS.format(""),
+    "p5_tables": _P5 + _P5_ROWS.format(", name, name_type, value"),
 }

@@ -69,3 +69,14 @@ def test_fields_in_any_order(spark):
 def test_lone_surrogates(spark):
     df = spark.createDataFrame([(1, '{"creators": [{"name": "a\\ud83d"}]}')], "seq long, line string")
     assert [r.name for r in flatten_json_lines(df).collect()] == ["a?"]
+
+
+def test_lines_parsed_in_the_jvm_are_those_parsed_here(spark, sf):
+    """Every line of the table, and shapes that it lacks."""
+    odd = [
+        '{"creators":[{"name":"a"}]} x', '{"creators":["a"]}{"b":1}', '{"creators":"a","creators":["b","c"]}', "[1]", "{'creators':['a']}", '{"creators":[1, true, null, "q", {"name":{"given":"G","family":"F"}}]}',
+        '{"creators":{"name":"solo","identifiers":{"identifier":"i","scheme":"s"},"affiliations":{"city":"c"}}}', '{"creators":[{"nameType":"Personal","affiliations":["", null, 5]}]}', '{"creators":[]}', '{"creators":null}', '{"a":NaN}', " ", None,
+    ]
+    lines = spark.read.parquet(f"{sf}/raw_emdb.parquet").unionByName(spark.createDataFrame([(10_000 + i, x) for i, x in enumerate(odd)], "seq long, line string"))
+    rows = lambda canonical: sorted(map(str, flatten_json_lines(lines, canonical=canonical).collect()))
+    assert rows(None) == rows(canonical_creators)
