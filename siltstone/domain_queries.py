@@ -434,12 +434,15 @@ def _(spark, d):
     return _ranked(spark, d, _org_links(spark, d), named).select("entity", "name", "n_datasets", "n_citations", "score", "year")
 
 
-@query("raw_ingest", f"""with u as (select seq, unnest(identifiers) x, generate_subscripts(identifiers, 1) p from raw_datacite), v as (select seq, p, lower(trim({_CTRL.format('x.identifier')})) i, lower(coalesce(x.identifier_type, x."identifierType", '')) t from u),
+_RAW_INGEST = f"""with u as (select seq, unnest(identifiers) x, generate_subscripts(identifiers, 1) p from raw_datacite), v as (select seq, p, lower(trim({_CTRL.format('x.identifier')})) i, lower(coalesce(x.identifier_type, x."identifierType", '')) t from u),
  f as (select * from v where i <> '' qualify row_number() over (partition by seq order by p) = 1)
  select seq id, {_CTRL.format('source')} source, i identifier, t identifierType, coalesce(title,'') title, {_CTRL.format('description')} description, {_CTRL.format('"version"')} "version", {_CTRL.format('publisher')} publisher,
  coalesce(nullif({_CTRL.format('publisher_id')}, ''), 'unknown') publisherId, coalesce(try_cast(pubyear as int), 0) pubYear,
  strftime(coalesce(case when {_ISO.format('pd')} then try_cast(pd as timestamptz) at time zone 'UTC' end, timestamp '1970-01-01'), '%Y-%m-%d %H:%M:%S') publishedAt, array_to_string(list_transform(subjects, lambda x: coalesce(x, '')), '|') subjects
- from (select *, regexp_replace(regexp_replace(publication_date, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g'), '[+-](1[5-9]|[2-9]\\d):?\\d{{2}}$', '') pd from raw_datacite) join f using (seq)""")
+ from (select *, regexp_replace(regexp_replace(publication_date, '^[\\s\\x{{A0}}]+|[\\s\\x{{A0}}]+$', '', 'g'), '[+-](1[5-9]|[2-9]\\d):?\\d{{2}}$', '') pd from raw_datacite) join f using (seq)"""
+
+
+@query("raw_ingest", _RAW_INGEST)
 def _(spark, d):
     ds, _bad = ingest.ingest(table(spark, d, "raw_datacite"))
     return ds.select("id", "source", "identifier", "identifierType", "title", "description", "version", "publisher", "publisherId", "pubYear",
@@ -550,13 +553,13 @@ def _(spark, d):
     return n.select("id", F.size("lines").cast("long").alias("n_lines"), F.array_join(F.transform("lines", lambda x: x["line"]), ",").alias("lines"))
 
 
-@query("search_docs", r"""with c as (select seq id, unnest(creators) c, generate_subscripts(creators, 1) pos from raw_datacite), s as (select id, pos, regexp_replace(c."name", '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g') nm, coalesce(c.identifiers, []) ids from c where c is not null),
+@query("search_docs", f"with ri as ({_RAW_INGEST}), " + r"""c as (select seq id, unnest(creators) c, generate_subscripts(creators, 1) pos from raw_datacite), s as (select id, pos, regexp_replace(c."name", '^[\s\x{A0}]+|[\s\x{A0}]+$', '', 'g') nm, coalesce(c.identifiers, []) ids from c where c is not null),
  a as (select id, string_agg(nm, '|' order by pos) filter (nm <> '') authors from s group by 1), i as (select id, pos, unnest(ids) x, generate_subscripts(ids, 1) p from s), j as (select id, x, min((pos, p)) t from i where trim(x) <> '' group by 1, 2), k as (select id, string_agg(x, '|' order by t) nids from j group by 1)
- select r.seq id, r.title, coalesce(authors, '') authors, coalesce(nids, '') nameIdentifiers from raw_datacite r left join a on a.id = r.seq left join k on k.id = r.seq""")
+ select r.id, r.identifier, r.title, r.publishedAt, r.subjects, coalesce(authors, '') authors, coalesce(nids, '') nameIdentifiers from ri r left join a on a.id = r.id left join k on k.id = r.id""")
 def _(spark, d):
-    r = table(spark, d, "raw_datacite").select(F.col("seq").alias("id"), F.lit("").alias("identifier"), "title")
+    r = ingest.ingest(table(spark, d, "raw_datacite"))[0].select("id", "identifier", "title", "publishedAt", "subjects")
     s = reports.search_documents(r, _creators(spark, d))
-    return s.select("id", "title", F.array_join("authors", "|").alias("authors"), F.array_join("nameIdentifiers", "|").alias("nameIdentifiers"))
+    return s.select("id", "identifier", "title", F.date_format("publishedAt", "yyyy-MM-dd HH:mm:ss").alias("publishedAt"), F.array_join("subjects", "|", "").alias("subjects"), F.array_join("authors", "|").alias("authors"), F.array_join("nameIdentifiers", "|").alias("nameIdentifiers"))
 
 
 _BUCKETS = ["unknown", "before 2000", "2000-2009", "2010-2019", "2020 on"]

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from siltstone.functions.text import doi_prefix, version_or_estimated
-from siltstone.plans.resolve import first_per_key
+from siltstone.functions.text import doi_prefix, iso_timestamp_or, map_key, safe_float, version_or_estimated
+from siltstone.plans.entities import with_ids
+from siltstone.plans.resolve import first_per_key, resolve
 
 LOW = 14.0
 SAMPLE = 100
@@ -75,6 +76,35 @@ def estimate_by_prefix(queue: DataFrame, modes: DataFrame) -> DataFrame:
     return queue.withColumn("prefix", doi_prefix(F.col("identifier"))).join(modes.select("prefix", "score"), "prefix", "left").select("id", "prefix", F.col("score").cast("double").alias("score"))
 
 
+def estimated_with_score(rows: DataFrame, estimated: Column) -> DataFrame:
+    """Rows marked as estimated that have a score."""
+    return rows.where(F.coalesce(estimated, F.lit(False)) & F.col("score").isNotNull())
+
+
+def score_constants(consistent: DataFrame, extra: dict[str, float]) -> DataFrame:
+    """consistent (publisherId, score, n) -> (key, score, pos): what a constant map of
+    scores lists, largest publishers first, fixed ones last; a fixed score takes the
+    place of the publisher's own."""
+    own = consistent.where(~F.col("publisherId").isin(*extra)).select(F.col("publisherId").alias("key"), "score", "n")
+    fixed = consistent.sparkSession.createDataFrame([(k, float(v), -1 - i) for i, (k, v) in enumerate(extra.items())], "key string, score double, n long")
+    every = with_ids(own.unionByName(fixed).withColumn("_size", -F.col("n")), ["_size", "key"], 0, "pos")
+    return every.select("key", "score", "pos")
+
+
+def import_score_files(rows: DataFrame, entries: DataFrame, as_of: Column) -> DataFrame:
+    """Score exports of both shapes, (doi, ...) and (dataset_id, ...), field names in
+    either spelling -> (datasetId, identifier, score, evaluationDate, metricVersion,
+    softwareVersion, seq) of the rows whose identifier stands for a dataset. A score
+    that is no number is null, a date that is none as_of, a blank version estimated."""
+    either = lambda a, b: F.coalesce(F.nullif(F.col(a), F.lit("")), F.nullif(F.col(b), F.lit("")))
+    r = rows.withColumn("identifier", map_key(either("doi", "dataset_id"))).where("identifier <> ''")
+    out = resolve(r, "identifier", entries)
+    return out.select(
+        "datasetId", "identifier", safe_float(F.col("score")).alias("score"), iso_timestamp_or(either("evaluationDate", "evaluation_date"), as_of).alias("evaluationDate"),
+        version_or_estimated(either("metricVersion", "metric_version")).alias("metricVersion"), version_or_estimated(either("softwareVersion", "software_version")).alias("softwareVersion"), "seq",
+    )
+
+
 def import_scores(rows: DataFrame) -> DataFrame:
     """(seq, datasetId, score, evaluationDate, metricVersion, softwareVersion) -> one
     row for each dataset, the last one; blank versions become estimated."""

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.functions.text import clean_string, clean_uri, main_identifier, or_default, published_at, safe_int, strip
+from siltstone.operators.flatten import json_object, variant_creators
+from siltstone.plans.entities import with_ids
+from siltstone.plans.resolve import resolve, unmatched
 
 
 def _identifiers(raw: DataFrame) -> DataFrame:
@@ -32,6 +37,30 @@ def ingest(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return datasets, r.where(F.size("ids") == 0).select("seq", F.lit("no identifier").alias("reason"))
 
 
+#: Fields of a raw record and of the lines of exports in JSON.
+RAW = ("source", "title", "description", "version", "publisher", "publisher_id", "publication_date", "pubyear")
+Parser = Callable[[DataFrame], DataFrame]
+
+
+def records_of_lines(lines: DataFrame, key: str = "seq", line: str = "line") -> DataFrame:
+    """One JSON object per line -> raw records as ingest takes them; lines that hold
+    no object, or one with a field given twice, are left out."""
+    v = F.col("v")
+    text = lambda f: F.try_variant_get(v, f"$.{f}", "string").alias(f)
+    as_list = lambda f, kind: F.coalesce(F.try_variant_get(v, f"$.{f}", f"array<{kind}>"), F.array(F.try_variant_get(v, f"$.{f}", kind)))
+    ids = F.filter(as_list("identifiers", "struct<identifier:string,identifier_type:string,identifierType:string>"), lambda x: x.isNotNull())
+    subjects = F.filter(as_list("subjects", "string"), lambda x: x.isNotNull())
+    d = lines.select(F.col(key).alias("seq"), json_object(F.col(line)).alias("v")).where("v is not null")
+    return d.select("seq", *[text(f) for f in RAW], subjects.alias("subjects"), variant_creators(v).alias("creators"), ids.alias("identifiers"))
+
+
+def ingest_lines(lines: DataFrame, parser: Parser = records_of_lines, main_type: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """As ingest, over lines that a parser brings to raw records. With main_type the
+    main identifier is of that type, whatever its own among all identifiers is."""
+    datasets, bad = ingest(parser(lines))
+    return (datasets.withColumn("identifierType", F.lit(main_type)) if main_type else datasets), bad
+
+
 def dataset_identifiers(datasets: DataFrame) -> DataFrame:
     return datasets.select(F.col("id").alias("datasetId"), F.posexplode("ids").alias("pos", "x")).select("datasetId", "pos", "x.identifier", "x.identifierType")
 
@@ -42,6 +71,19 @@ def dataset_authors(datasets: DataFrame) -> DataFrame:
     return a.select("datasetId", "pos", clean_string(F.col("c.name_type")).alias("nameType"), clean_string(F.col("c.name")).alias("name"), items("identifiers").alias("nameIdentifiers"), items("affiliations").alias("affiliations"))
 
 
+def licences(records: DataFrame, entries: DataFrame, start: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Rights by dataset with consecutive ids, and the keys that stand for no dataset
+    with their number of records."""
+    keyed = records.select("seq", main_identifier(F.col("identifiers"))["identifier"].alias("main"))
+    rows = resolve(rights_rows(records), "key", entries)
+    return with_ids(rows, ["seq", "datasetId", "name", "uri", "identifier"], start, "id"), unmatched(keyed, "main", entries)
+
+
+def authors_with_ids(datasets: DataFrame, start: int = 1) -> DataFrame:
+    """dataset_authors with consecutive ids in the order of datasets and places."""
+    return with_ids(dataset_authors(datasets), ["datasetId", "pos"], start, "id")
+
+
 def rights_rows(records: DataFrame) -> DataFrame:
     """(seq, identifiers, rights array) -> (seq, identifier, name, identifier_, uri):
     a row for each right with anything in it, by the record's main identifier."""

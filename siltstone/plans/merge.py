@@ -7,11 +7,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from siltstone.functions.text import clean_link, lower_sources
-from siltstone.plans.resolve import first_per_key
+from siltstone.plans.entities import with_ids
+from siltstone.plans.resolve import first_per_key, resolve, unmatched
 
 FLAGS = {"datacite": "datacite", "mdc": "mdc", "openAlex": "openalex"}
 
 
+# Names that exports give the fields of a citation.
+FIELD_NAMES = {
+    "dataset_id": ("dataset_id", "datasetId"), "doi": ("doi",), "citation_link": ("citation_link", "citationLink", "link"), "source": ("source",),
+    "citation_weight": ("citation_weight", "citationWeight"), "citation_date": ("citation_date", "citedDate", "cited_date"), "seq": ("seq",),
+}
+
+
+def with_plain_names(rows: DataFrame) -> DataFrame:
+    """An export of citations under the names used here, with its reference: the
+    first of a field's names that holds something counts, a missing field is null;
+    the reference is the dataset's identifier, else the doi."""
+    here = lambda names: [F.col(n) for n in names if n in rows.columns]
+    kinds = {"source": "array<string>", "citation_weight": "double", "seq": "long"}
+    cols = {k: F.coalesce(*here(v)) if here(v) else F.lit(None) for k, v in FIELD_NAMES.items()}
+    r = rows.select(*[c.cast(kinds.get(k, "string")).alias(k) for k, c in cols.items()])
+    return r.withColumn("reference", F.coalesce(F.nullif("dataset_id", F.lit("")), "doi"))
+
+
 def citations_by_link(rows: DataFrame, weight: str = "max") -> DataFrame:
     """(datasetId, citation_link, source, citation_weight, citation_date, seq) ->
     one row for each dataset and cleaned link: flags of all, the largest weight or
@@ -55,6 +74,24 @@ def merge_changes(merged: DataFrame) -> DataFrame:
     return merged.where("action <> 'keep'")
 
 
+def with_inserted_ids(merged: DataFrame, existing_ids: DataFrame) -> DataFrame:
+    """merged with an id: that of the existing row (datasetId, citationLink, id),
+    and for inserts consecutive ones behind the largest, in key order."""
+    keys = ["datasetId", "citationLink"]
+    top = existing_ids.agg(F.coalesce(F.max("id"), F.lit(0)).cast("long").alias("top"))
+    new = with_ids(merged.where("action = 'insert'").select(*keys), keys, 1, "n").join(F.broadcast(top)).select(*keys, (F.col("top") + F.col("n")).alias("id"))
+    return merged.join(existing_ids.select(*keys, F.col("id").cast("long").alias("id")).unionByName(new), keys, "left")
+
+
+def topics_by_dataset(rows: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """rows (dataset_id, topic_id, score, seq, ...) -> the best row of each dataset
+    that its identifier stands for, with datasetId, and the identifiers that stand
+    for none with their number of rows. Rows without identifier are left out."""
+    r = rows.where("dataset_id is not null and dataset_id <> ''")
+    best = best_per_key(resolve(r, "dataset_id", entries), ["datasetId"], "score", [F.col("seq")])
+    return best, unmatched(r, "dataset_id", entries)
+
+
 def mentions_by_link(rows: DataFrame) -> DataFrame:
     """(datasetId, mention_link, source, mention_weight, mention_date, seq) -> one
     row for each dataset and cleaned link: sources in the order in which they came,
@@ -75,8 +112,11 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], order: str,
     return target.join(new.select(*keys), keys, "left_anti").select(*target.columns).unionByName(new)
 
 
-def upsert_if_higher(target: DataFrame, incoming: DataFrame, keys: list[str], score: str, order: str) -> DataFrame:
-    """As upsert, but a row gives way only to a higher score; the target's goes first on ties."""
+def upsert_if_higher(target: DataFrame, incoming: DataFrame, keys: list[str], score: str, order: str, parents: DataFrame | None = None) -> DataFrame:
+    """As upsert, but a row gives way only to a higher score; the target's goes first on ties.
+    With parents, keys that these lack are left out of what comes in."""
+    if parents is not None:
+        incoming = incoming.join(parents.select(*keys).distinct(), keys, "left_semi")
     both = target.withColumn("_new", F.lit(0)).withColumn(order, F.lit(None).cast("long")) if order not in target.columns else target.withColumn("_new", F.lit(0))
     both = both.unionByName(incoming.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     w = Window.partitionBy(*keys).orderBy(F.col(score).desc_nulls_last(), "_new", order)

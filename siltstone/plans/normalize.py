@@ -47,6 +47,34 @@ def normalization_factors(requests: DataFrame, norms: DataFrame, last_year: int
     return j.select("id", value("ft", FT), value("ctw", CTW), value("mtw", MTW), used.alias("subfield_used"), F.col("asked").alias("year_used"), method.alias("method"))
 
 
+def optional_factors(requests: DataFrame, norms: DataFrame) -> DataFrame:
+    """As normalization_factors, each factor by itself: the subfield's latest row by
+    the year asked for, and where that row lacks a factor, DEFAULT's latest row of
+    any year -> (id, ft, ctw, mtw, year_gap, method); no fixed factors.
+
+    The subfield's rows are few per year; they are laid out by year as there. A
+    null subfield or year has DEFAULT's factors only.
+    """
+    until = F.lead("pubyear").over(Window.partitionBy("subfield_id").orderBy("pubyear"))
+    grid = norms.withColumn("_to", F.least(F.coalesce(until - 1, F.lit(LAST_YEAR)), F.lit(LAST_YEAR))).where("_to >= pubyear")
+    row = F.struct("pubyear", "ft", "ctw", "mtw").alias("own")
+    grid = grid.select(F.col("subfield_id").alias("subfield"), F.explode(F.sequence("pubyear", "_to")).alias("year"), row)
+    rest = norms.where(F.col("subfield_id") == DEFAULT).agg(F.max_by(F.struct("ft", "ctw", "mtw"), "pubyear").alias("rest"))
+    j = requests.withColumn("asked", F.col("year")).withColumn("year", F.least("year", F.lit(LAST_YEAR))).join(grid, ["subfield", "year"], "left").join(F.broadcast(rest), how="left")
+    method = F.when(F.col("own").isNull(), "Default").when(F.col("own.pubyear") == F.col("asked"), "Exact Year").otherwise("Closest Past Year")
+    return j.select("id", *[F.coalesce(F.col(f"own.{c}"), F.col(f"rest.{c}")).alias(c) for c in ("ft", "ctw", "mtw")], (F.col("asked") - F.col("own.pubyear")).alias("year_gap"), method.alias("method"))
+
+
+def subfields_of_topics(rows: DataFrame, topic: str, dictionary: DataFrame, order: str) -> DataFrame:
+    """rows with the subfield of their topic, null if the dictionary (topic_id,
+    subfield_id) lacks it. Topics are compared by their digits; of several entries
+    the last in order counts, entries without digits are none."""
+    only_digits = lambda c: F.nullif(F.regexp_replace(F.col(c), r"\D", ""), F.lit(""))
+    d = dictionary.select(only_digits("topic_id").alias("_topic"), F.coalesce(F.trim("subfield_id"), F.lit("")).alias("subfield_id"), order).where("_topic is not null")
+    last = d.groupBy("_topic").agg(F.max_by("subfield_id", order).alias("subfield_id"))
+    return rows.withColumn("_topic", only_digits(topic)).join(last, "_topic", "left").drop("_topic")
+
+
 def cascade_factors(requests: DataFrame, norms: DataFrame, any_topic: str = "ALL", unknown_year: int = -1) -> DataFrame:
     """requests (id, topic, year), norms (topic_id, year, ft, ctw, mtw) -> factors of
     the first that exists of: topic and year, all topics and year, topic and

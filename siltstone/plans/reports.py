@@ -22,16 +22,36 @@ def nested(parents: DataFrame, key: str, children: dict[str, tuple[DataFrame, st
     return out
 
 
+def dump(datasets: DataFrame, one: dict[str, tuple[DataFrame, str, list[str]]], many: dict[str, tuple[DataFrame, str, list[str]]]) -> DataFrame:
+    """datasets (id, ...) with a struct for each table of at most one row a dataset,
+    null where it has none, and an array for each table of several."""
+    out = datasets
+    for name, (rows, key, cols) in one.items():
+        out = out.join(rows.select(F.col(key).alias("id"), F.struct(*cols).alias(name)), "id", "left")
+    return nested(out, "id", many)
+
+
+def person_documents(people: DataFrame) -> DataFrame:
+    """(id, name, nameIdentifiers, affiliations) for a search index of people; lists are never null."""
+    none = F.array().cast("array<string>")
+    return people.where("id is not null").select("id", "name", F.coalesce("nameIdentifiers", none).alias("nameIdentifiers"), F.coalesce("affiliations", none).alias("affiliations"))
+
+
+def organisation_documents(organisations: DataFrame) -> DataFrame:
+    return organisations.where("id is not null").select("id", "name")
+
+
 def search_documents(datasets: DataFrame, creators: DataFrame) -> DataFrame:
-    """(id, identifier, title, authors, nameIdentifiers): names in order, blank ones
-    left out, identifiers each once in the order in which they come."""
+    """datasets (id, identifier, title, publishedAt, subjects) with authors and
+    nameIdentifiers: names in order, blank ones left out, identifiers each once in
+    the order in which they come."""
     c = creators.select("id", "pos", strip(F.col("name")).alias("name"), F.coalesce("identifiers", F.array().cast("array<string>")).alias("ids"))
     g = c.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("pos", "name", "ids"))).alias("all"))
     names = F.filter(F.transform("all", lambda x: x["name"]), lambda n: n.isNotNull() & (n != ""))
     ids = F.array_distinct(F.filter(F.flatten(F.transform("all", lambda x: x["ids"])), lambda i: i.isNotNull() & (F.trim(i) != "")))
     g = g.select("id", names.alias("authors"), ids.alias("nameIdentifiers"))
     none = F.array().cast("array<string>")
-    return datasets.join(g, "id", "left").select("id", "identifier", "title", F.coalesce("authors", none).alias("authors"), F.coalesce("nameIdentifiers", none).alias("nameIdentifiers"))
+    return datasets.join(g, "id", "left").select("id", "identifier", "title", "publishedAt", "subjects", F.coalesce("authors", none).alias("authors"), F.coalesce("nameIdentifiers", none).alias("nameIdentifiers"))
 
 
 def ranked_entities(links: DataFrame, citations_per_dataset: DataFrame, index: DataFrame, least_datasets: int = 5, least_citations: int = 5, least_mean: float = 1.0) -> DataFrame:

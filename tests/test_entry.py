@@ -7,7 +7,7 @@ import pytest
 def test_every_query_runs_on_the_small_tables(spark, sf):
     import __spark_entry__ as e
 
-    core = [n for n in e.queries() if e.queries()[n].__module__ in ("siltstone.queries", "siltstone.domain_queries")]
+    core = [n for n in e.queries() if e.queries()[n].__module__ in ("siltstone.queries", "siltstone.domain_queries", "siltstone.catalog_queries")]
     assert len(core) > 50
     for name in core:
         df = e.queries()[name](spark, sf)
