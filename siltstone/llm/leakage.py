@@ -1,31 +1,37 @@
 """Held-out items that stand, whole or in part, in a corpus.
 
-A prefix-filtered set join between item windows and documents. Items are cut
-into windows of as many words as a passage must have; of each window only the
-rarest three-word shingles are indexed, as many as must share one with any
-passage altered within the limit. The corpus is read once: each document's
-words are looked up in the items' vocabulary, and only stretches around shared
-shingles, as vocabulary numbers, go on. The shingles' rarity is counted over all
-documents in the same pass. A candidate pair is held against bounds on number
-and position of shared shingles and then aligned word by word. Three-word
-shingles instead of five: two altered words in sixteen may leave only one
-five-word shingle whole, which leaves nothing to order by rarity.
-
-Items are taken in blocks of a fixed number, so what is sent to the executors
-has a bound whatever the size of the evaluation set; each block reads the corpus.
+A prefix-filtered set join. Items are brought to word numbers, equal items become
+one, and sentences at an item's ends that other items have too are cut off. A
+passage must keep half of the words that an item owns, those that hardly any
+other item of its make has, so of every stretch of 16 to 31 item words the rarest
+half of its own words and one more are a prefix that any passage shares with its
+document. Prefixes are joined with the corpus by equality; rarity is counted over
+all documents. One-word shingles are the tokens, as two altered words may leave
+no longer shingle whole around a kept word. Candidates are then held against
+bounds on number and place of shared three-word shingles and own words, and
+aligned word by word.
+
+The corpus is read once. Three bitmaps of fixed largest size, made from the items
+in the JVM, say which of its words and shingles may be those of an item; only
+stretches around shared shingles go on, as numbers. A bitmap may let too much
+through, never too little, and what it lets through is joined by the numbers
+themselves. Items are tables all the way; nothing of them but the bitmaps is
+gathered.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from siltstone.runtime import materialise
 
@@ -33,14 +39,23 @@ WINDOW = 16
 #: One word in so many may be altered.
 PER_ALTERED = 8
 SHINGLE = 3
-ITEMS_PER_BLOCK = 5_000
+#: A word of more other items than this belongs to a make in which more than one item, and one in so many, has it.
+MAKE, MAKE_SHARE = 3, 50
+#: Shingles of an item, the most common ones, that each stand for a make.
+MAKES = 8
 #: Words put in between that count as a remark and not as altered words.
 REMARK = (4, 40)
 #: A window of 16 words, 3 of them altered and a remark put in: whole shingles left of 14.
 LEAST_SHARED = WINDOW - SHINGLE + 1 - 3 * SHINGLE - (SHINGLE - 1)
 CHUNK_CHARS = 1_000_000
-
-_MARKUP = re.compile(r"</?[a-z!][^<>]{0,200}>|&[a-z]{2,8};|&#\d+;|[­​﻿]")
+#: Least and most bits of a bitmap, and bits for each number in it between them.
+LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 30, 64
+CACHED_WORDS = 1_000_000
+#: Candidates that one task aligns.
+PER_TASK = 5_000
+
+_TAG = r"""</?[a-z][a-z0-9]*+(?:\s++[a-z_:][a-z0-9_:.-]*+(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=]++))?+)*+\s*+/?+>|<!--.*?-->"""
+_MARKUP = re.compile(_TAG + r"|&[a-z]{2,8};|&#\d+;|[\u00ad\u200b\ufeff]", re.S)
 _WORD = re.compile(r"\x00|[^\W_]+")
 _SENTENCE = re.compile(r"(?<=[.?!:])\s+|\s+(?=[A-Z]\w+:\s)")
 
@@ -49,70 +64,178 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(_MARKUP.sub(" ", text.lower().replace("\x00", " ")))
 
 
-def contents(texts: list[str]) -> list[list[str]]:
-    """The words of each item without the sentences at its ends that other items
-    have too, whatever their numbers: lead-ins, answer options and requests."""
-    cut = [[s for s in _SENTENCE.split(t or "") if s.strip()] for t in texts]
-    # "Options:" and what follows it are one sentence.
-    for c in cut:
-        for i in range(len(c) - 2, -1, -1):
-            if c[i].endswith(":"):
-                c[i : i + 2] = [c[i] + " " + c[i + 1]]
-    form = lambda s: " ".join("#" if w.isdigit() else w for w in words_of(s))
-    in_items = Counter(f for c in cut for f in {form(s) for s in c})
+def number(word: str) -> int:
+    """A word's 64-bit number; never 0, which stands for words of no item."""
+    return (xxhash.xxh3_64_intdigest(word) - (1 << 63)) or 1
+
+
+def sentences(text: str) -> list[tuple[int, list[int]]]:
+    """Form, whatever its numbers, and words of each sentence of an item; "Options:" and
+    what follows it are one."""
+    cut = [s for s in _SENTENCE.split(text) if s.strip()]
+    for i in range(len(cut) - 2, -1, -1):
+        if cut[i].endswith(":"):
+            cut[i : i + 2] = [cut[i] + " " + cut[i + 1]]
     out = []
-    for c in cut:
-        lo, hi = 0, len(c)
-        while lo < hi - 1 and in_items[form(c[lo])] > 1:
-            lo += 1
-        while hi > lo + 1 and in_items[form(c[hi - 1])] > 1:
-            hi -= 1
-        out.append(words_of(" ".join(c[lo:hi])))
+    for s in cut:
+        w = words_of(s)
+        out.append((number(" ".join("#" if x.isdigit() else x for x in w)), [number(x) for x in w]))
+    return out
+
+
+def content(sents: list[list[int]], forms: list[int], shared: set[int]) -> list[int]:
+    """The words of an item without the sentences at its ends that other items have
+    too: lead-ins, answer options and requests. Shared ends that hold more than half
+    of the item make it another version of those items, and nothing is cut."""
+    lo, hi = 0, len(sents)
+    while lo < hi - 1 and forms[lo] in shared:
+        lo += 1
+    while hi > lo + 1 and forms[hi - 1] in shared:
+        hi -= 1
+    whole = [w for s in sents for w in s]
+    kept = [w for s in sents[lo:hi] for w in s]
+    return kept if 2 * len(kept) >= len(whole) else whole
+
+
+def _mixed(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    # Odd factors, so that each word's number decides all bits of its product.
+    a, b, c = a * np.uint64(0x9E3779B97F4A7C15), b * np.uint64(0xC2B2AE3D27D4EB4F), c * np.uint64(0x165667B19E3779F9)
+    x = (a ^ (b >> np.uint64(31))) + (b ^ (c >> np.uint64(29))) + c
+    return (x ^ (x >> np.uint64(32))).view(np.int64)
+
+
+def shingles(w: np.ndarray) -> np.ndarray:
+    """One number for each three consecutive words."""
+    u = w.view(np.uint64)
+    if len(u) < SHINGLE:
+        return np.zeros(0, np.int64)
+    return _mixed(u[:-2], u[1:-1], u[2:])
+
+
+def prefix(words: np.ndarray, own: np.ndarray, rarity: np.ndarray) -> set[int]:
+    """Own words of which any passage keeps one: of each stretch of 16 to 31 words the
+    rarest half and one more. A passage can be cut into such stretches, and keeps
+    half of the own words of one that has any."""
+    at = np.flatnonzero(own)
+    order = np.lexsort((words[at], rarity[at]))
+    rank = np.empty(len(at), np.int64)
+    rank[order] = np.arange(len(at))
+    found: set[int] = set()
+    seen = set()
+    for size in range(WINDOW, 2 * WINDOW):
+        for lo in range(max(0, len(words) - size) + 1 if len(words) >= size else 0):
+            a, b = np.searchsorted(at, (lo, lo + size))
+            if b > a and (a, b) not in seen:
+                seen.add((a, b))
+                found.update(words[at[a:b][np.argsort(rank[a:b])[: (b - a) // 2 + 1]]].tolist())
+    return found
+
+
+_PARSED = "item long, whole long, forms array<long>, sents array<array<long>>"
+_CONTENT = "whole long, words array<long>"
+_LONGS = pa.list_(pa.int64())
+
+
+def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        found = [sentences(t) for t in b.column(1).to_pylist()]
+        whole = [xxhash.xxh3_64_intdigest(np.array([w for _, ws in s for w in ws], np.int64).tobytes()) - (1 << 63) for s in found]
+        cols = [b.column(0).cast(pa.int64()), pa.array(whole, pa.int64()), pa.array([[f for f, _ in s] for s in found], _LONGS), pa.array([[w for _, w in s] for s in found], pa.list_(_LONGS))]
+        yield pa.RecordBatch.from_arrays(cols, names=["item", "whole", "forms", "sents"])
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        forms, sents, shared = (b.column(i).to_pylist() for i in (1, 2, 3))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array([content(s, f, set(x or ())) for f, s, x in zip(forms, sents, shared)], _LONGS)], names=["whole", "words"])
+
+
+def _rows(col: pa.Array) -> list[np.ndarray]:
+    """Each list of a column as an array."""
+    off, flat = col.offsets.to_numpy(), col.values.to_numpy(zero_copy_only=False)
+    return [flat[x:y] if v else flat[:0] for x, y, v in zip(off, off[1:], col.is_valid().to_numpy(zero_copy_only=False))]
+
+
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        own = [~np.isin(w, c) for w, c in zip(_rows(b.column(1)), _rows(b.column(3)))]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([o.tolist() for o in own], pa.list_(pa.bool_())), b.column(2)], names=["whole", "words", "own", "keys"])
+
+
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([shingles(w) for w in _rows(b.column(1))], _LONGS)], names=["whole", "words", "keys"])
+
+
+def item_contents(items: DataFrame, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """(whole, words, own, keys) of each different item with words enough for a
+    passage, and (whole, item) of all items. Counts run over the different items.
+
+    A word belongs to a make, and is no item's own, if several items of the make have
+    it; items that share nothing with an item have no say in its words."""
+    parsed = materialise(items.where(F.col(text).isNotNull()).select(F.col(key).cast("long"), text).mapInArrow(_parse, _PARSED), "items")
+    once = parsed.groupBy("whole").agg(F.min_by(F.struct("forms", "sents"), "item").alias("x")).select("whole", "x.forms", "x.sents")
+    forms = once.select("whole", F.explode(F.array_distinct("forms")).alias("form"))
+    several = forms.groupBy("form").agg(F.count("*").alias("n")).where("n > 1").select("form")
+    shared = forms.join(several, "form").groupBy("whole").agg(F.collect_list("form").alias("shared"))
+    cut = once.join(shared, "whole", "left").select("whole", "forms", "sents", "shared").mapInArrow(_cut, _CONTENT)
+    cut = materialise(cut.where(F.size("words") >= WINDOW).mapInArrow(_shingled, "whole long, words array<long>, keys array<long>"), "item-contents")
+    # An item belongs to the makes of the shingles that most items have of those in it.
+    keys = cut.select("whole", F.explode(F.array_distinct("keys")).alias("k"))
+    counted = keys.join(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"), "k")
+    first = counted.withColumn("i", F.row_number().over(Window.partitionBy("whole").orderBy(F.desc("n"), "k"))).where(F.col("i") <= MAKES)
+    makes = first.select("whole", "k", "n")
+    each = cut.select("whole", F.explode(F.array_distinct("words")).alias("w")).join(makes, "whole")
+    in_make = each.groupBy("k", "w").agg(F.count("*").alias("c"), F.max("n").alias("n")).where((F.col("c") > 1) & (F.col("c") * MAKE_SHARE > F.col("n")))
+    everywhere = each.groupBy("w").agg(F.countDistinct("whole").alias("all")).where(F.col("all") > MAKE + 1)
+    made = in_make.join(everywhere, "w").select("k", "w")
+    common = each.join(made, ["k", "w"]).groupBy("whole").agg(F.collect_set("w").alias("common"))
+    own = cut.join(common, "whole", "left").select("whole", "words", "keys", F.coalesce("common", F.array().cast("array<long>")).alias("common"))
+    out = materialise(own.mapInArrow(_own, "whole long, words array<long>, own array<boolean>, keys array<long>"), "item-words")
+    return out, parsed.select("whole", "item").distinct()
+
+
+def bitmap(numbers: DataFrame, n: int) -> np.ndarray:
+    """Bits of the values in a column of n numbers, gathered as pieces of 4 kB each."""
+    size = min(MOST_BITS, max(LEAST_BITS, 1 << (n * BITS_EACH - 1).bit_length()))
+    (name,) = numbers.columns
+    at = numbers.select((F.pmod(F.col(name), F.lit(size)) + 1).alias("at"))
+    out = np.zeros(size // 8, np.uint8)
+    for k, bits in at.groupBy(F.bitmap_bucket_number("at").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect():
+        out[(k - 1) * 4096 : k * 4096] = np.frombuffer(bits, np.uint8)
     return out
 
 
+def _in(bits: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    at = numbers & (len(bits) * 8 - 1)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
 @dataclass
-class Items:
-    """Vocabulary and shingles of a block of items."""
-
-    ids: list[int]
-    words: list[np.ndarray]
-    #: Of each item's words, which hardly any other item has.
-    own: list[np.ndarray]
-    vocabulary: dict[str, int]
-    shingles: np.ndarray = field(init=False)
-    #: Vocabulary number to the items that have it as an own word.
-    owners: dict[int, list[int]] = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.owners = defaultdict(list)
-        for k, (w, own) in enumerate(zip(self.words, self.own)):
-            for x in set(w[own].tolist()):
-                self.owners[x].append(k)
-        every = [self.keys(w) for w in self.words]
-        self.shingles = np.unique(np.concatenate(every)) if every else np.zeros(0, np.int64)
-
-    def keys(self, w: np.ndarray) -> np.ndarray:
-        """One number for each three consecutive words."""
-        n = len(self.vocabulary) + 1
-        return (w[:-2].astype(np.int64) * n + w[1:-1]) * n + w[2:] if len(w) >= SHINGLE else np.zeros(0, np.int64)
-
-
-def own_words(content: list[list[str]]) -> list[np.ndarray]:
-    """Of each item's words, whether at most one item in 50 (three at least) has them."""
-    in_items = Counter(w for ws in content for w in set(ws))
-    most = max(3, len(content) // 50)
-    return [np.array([in_items[w] <= most for w in ws], bool) for ws in content]
-
-
-def block_of_items(ids: list[int], content: list[list[str]], own: list[np.ndarray]) -> Items:
-    vocabulary: dict[str, int] = {}
-    words = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in ws], np.int64) for ws in content]
-    return Items(ids, words, own, vocabulary)
-
-
-_HITS = "doc long, words array<int>, shingle int, n long"
-_HITS_ARROW = pa.schema([("doc", pa.int64()), ("words", pa.list_(pa.int32())), ("shingle", pa.int32()), ("n", pa.int64())])
+class Filters:
+    """Bitmaps of the items' words, own words and shingles; at most MOST_BITS each."""
+
+    words: np.ndarray
+    own: np.ndarray
+    shingles: np.ndarray
+
+
+class _Numbers(dict):
+    """Words to numbers, 0 for what is no item's word; looked up once per worker."""
+
+    def __init__(self, bits: np.ndarray):
+        super().__init__()
+        self.bits, self.mask = bits, len(bits) * 8 - 1
+
+    def __missing__(self, word: str) -> int:
+        n = number(word)
+        at = n & self.mask
+        self[word] = n = n if (self.bits[at >> 3] >> (at & 7)) & 1 else 0
+        return n
+
+
+_HITS = "doc long, words array<long>, tokens array<long>, token long, n long"
+_HITS_ARROW = pa.schema([("doc", pa.int64()), ("words", _LONGS), ("tokens", _LONGS), ("token", pa.int64()), ("n", pa.int64())])
 _REACH = 48
 
 
@@ -122,11 +245,11 @@ def _stretches(at: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     return [(max(0, int(a[0]) - _REACH), min(n, int(a[-1]) + SHINGLE + _REACH), len(a)) for a in np.split(at, cuts)]
 
 
-def shared_stretches(batches: Iterator[pa.RecordBatch], items: Items) -> Iterator[pa.RecordBatch]:
-    vocabulary, shingles = items.vocabulary, items.shingles
-    docs_with = np.zeros(len(shingles), np.int64)
-    owned = np.zeros(len(vocabulary) + 1, bool)
-    owned[list(items.owners)] = True
+def shared_stretches(batches: Iterator[pa.RecordBatch], filters: Filters) -> Iterator[pa.RecordBatch]:
+    """(doc, words, tokens) of each stretch of a text that may hold a passage, words of
+    no item as 0, tokens its possible own words; and (token, n) of possible own
+    words, the number of texts that have them."""
+    numbers, docs_with = _Numbers(filters.words), Counter()
     for b in batches:
         keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
         lo = 0
@@ -136,49 +259,52 @@ def shared_stretches(batches: Iterator[pa.RecordBatch], items: Items) -> Iterato
                 size += len(texts[hi] or "")
                 hi += 1
             text = "\x00".join((t or "").replace("\x00", " ") for t in texts[lo:hi]).lower()
-            get = vocabulary.get
             found = _WORD.findall(_MARKUP.sub(" ", text))
-            ids = np.array([get(w, -1) for w in found], np.int64)
+            ids = np.fromiter(map(numbers.__getitem__, found), np.int64, len(found))
             ends = np.array([i for i, w in enumerate(found) if w == "\x00"] + [len(found)]) if hi - lo > 1 else np.array([len(found)])
             starts = np.concatenate([[0], ends[:-1] + 1])
-            whole = np.flatnonzero((ids[:-2] >= 0) & (ids[1:-1] >= 0) & (ids[2:] >= 0)) if len(ids) > 2 else np.zeros(0, np.int64)
-            n = len(vocabulary) + 1
-            key = (ids[whole] * n + ids[whole + 1]) * n + ids[whole + 2]
-            where = np.searchsorted(shingles, key)
-            hit = (where < len(shingles)) & (shingles[np.minimum(where, len(shingles) - 1)] == key) if len(shingles) else np.zeros(len(key), bool)
-            whole, where = whole[hit], where[hit]
-            doc = np.searchsorted(ends, whole, side="right")
-            out_doc, out_words = [], []
+            # A bitmap bit may be set for the mark between texts too.
+            ids[ends[:-1]] = 0
+            if len(numbers) > CACHED_WORDS:
+                numbers.clear()
+            mine = np.flatnonzero(ids)
+            mine = mine[_in(filters.own, ids[mine])]
+            owned = np.zeros(len(ids), bool)
+            owned[mine] = True
+            pairs = np.unique(np.stack([np.searchsorted(ends, mine, side="right"), ids[mine]]), axis=1)
+            docs_with.update(Counter(pairs[1].tolist()))
+            whole = np.flatnonzero((ids[:-2] != 0) & (ids[1:-1] != 0) & (ids[2:] != 0)) if len(ids) > 2 else np.zeros(0, np.int64)
             if len(whole):
-                pairs = np.unique(doc * len(shingles) + where) % len(shingles)
-                docs_with += np.bincount(pairs, minlength=len(shingles))
-                for part in np.split(np.arange(len(whole)), np.flatnonzero(np.diff(doc)) + 1):
-                    d = int(doc[part[0]])
-                    mine = ids[starts[d] : ends[d]]
-                    for x, y, n_hits in _stretches(whole[part] - starts[d], len(mine)):
-                        if n_hits >= LEAST_SHARED and owned[mine[x:y]].any():
-                            out_doc.append(keys[lo + d])
-                            out_words.append(mine[x:y].astype(np.int32))
-            if out_doc:
-                yield pa.RecordBatch.from_arrays([pa.array(out_doc, pa.int64()), pa.array(out_words, pa.list_(pa.int32())), pa.nulls(len(out_doc), pa.int32()), pa.nulls(len(out_doc), pa.int64())], schema=_HITS_ARROW)
+                u = np.stack([ids[whole], ids[whole + 1], ids[whole + 2]], axis=1).view(np.uint64)
+                whole = whole[_in(filters.shingles, _mixed(u[:, 0], u[:, 1], u[:, 2]))]
+            doc = np.searchsorted(ends, whole, side="right")
+            out = []
+            for part in np.split(np.arange(len(whole)), np.flatnonzero(np.diff(doc)) + 1) if len(whole) else ():
+                d = int(doc[part[0]])
+                at, n = starts[d], int(ends[d] - starts[d])
+                for x, y, n_hits in _stretches(whole[part] - at, n):
+                    tokens = np.unique(ids[at + x : at + y][owned[at + x : at + y]])
+                    if n_hits >= LEAST_SHARED and len(tokens):
+                        out.append((keys[lo + d], ids[at + x : at + y], tokens))
+            if out:
+                doc_, words, tokens = zip(*out)
+                none = pa.nulls(len(out), pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(doc_, pa.int64()), pa.array(words, _LONGS), pa.array(tokens, _LONGS), none, none], schema=_HITS_ARROW)
             lo = hi
-    seen = np.flatnonzero(docs_with)
-    if len(seen):
-        none = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, pa.nulls(len(seen), pa.list_(pa.int32())), pa.array(seen, pa.int32()), pa.array(docs_with[seen])], schema=_HITS_ARROW)
+    if docs_with:
+        none = pa.nulls(len(docs_with), _LONGS)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(docs_with), pa.int64()), none, none, pa.array(docs_with.keys(), pa.int64()), pa.array(docs_with.values(), pa.int64())], schema=_HITS_ARROW)
 
 
-def prefix_shingles(items: Items, docs_with: np.ndarray) -> list[set[int]]:
-    """Of each item, the rarest shingles of each of its windows: as many as must
-    share one with any passage that leaves LEAST_SHARED of them whole."""
-    per_window = WINDOW - SHINGLE + 1
-    take = per_window - LEAST_SHARED + 1
-    out = []
-    for w in items.words:
-        at = np.searchsorted(items.shingles, items.keys(w))
-        order = docs_with[at] + at / (len(items.shingles) + 1)
-        out.append({int(at[i + j]) for i in range(len(at) - per_window + 1) for j in np.argsort(order[i : i + per_window], kind="stable")[:take]})
-    return out
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        who, tokens = [], []
+        for k, w, own, known, n in zip(b.column(0).to_pylist(), _rows(b.column(1)), b.column(2).to_pylist(), *(_rows(b.column(i)) for i in (3, 4))):
+            rarity = dict(zip(known.tolist(), n.tolist()))
+            found = prefix(w, np.array(own, bool), np.array([rarity.get(x, 0) for x in w.tolist()]))
+            who += [k] * len(found)
+            tokens += found
+        yield pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(tokens, pa.int64())], names=["whole", "token"])
 
 
 def passage(doc: np.ndarray, item: np.ndarray, own: np.ndarray) -> tuple[int, int]:
@@ -253,69 +379,65 @@ def _longest(d: np.ndarray, i: np.ndarray, own: np.ndarray) -> tuple[int, int]:
 
 def least_own(words: np.ndarray, own: np.ndarray) -> int:
     """How many different own words any passage of an item keeps at least: half of
-    those in the window with the fewest, each counted as often as it can repeat."""
+    those in the stretch of 16 to 31 words with the fewest, each counted as often as
+    it can repeat."""
     if len(words) < WINDOW or not own.any():
         return len(words) + 1
     repeats = int(np.unique(words[own], return_counts=True)[1].max())
     in_window = np.convolve(own, np.ones(WINDOW, int), "valid")
-    return min(-(-(-(-int(n) // 2)) // repeats) for n in in_window if n) if in_window.any() else len(words) + 1
+    return min(-(-(-(-int(n) // 2)) // repeats) for n in in_window if n) if in_window.any() else 1
 
 
-_FOUND = "doc_id long, item_id long, n_words int, n_altered int"
+_FOUND = "doc_id long, whole long, n_words int, n_altered int"
 
 
-def _verify(batches: Iterator[pa.RecordBatch], items: Items, prefix: list[set[int]]) -> Iterator[pa.RecordBatch]:
-    n_shingles, owners = len(items.shingles), items.owners
-    own = [set(np.searchsorted(items.shingles, items.keys(w)).tolist()) for w in items.words]
-    least = [least_own(w, o) for w, o in zip(items.words, items.own)]
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc, stretch, whole, item words, own, item shingles) -> the passages among them."""
     for b in batches:
         out = []
-        for doc, words in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            w = np.array(words, np.int64)
-            ok = (w[:-2] >= 0) & (w[1:-1] >= 0) & (w[2:] >= 0)
-            keys = items.keys(w)
-            at = np.searchsorted(items.shingles, keys)
-            ok &= (at < n_shingles) & (items.shingles[np.minimum(at, n_shingles - 1)] == keys)
-            places = np.flatnonzero(ok)
-            shingles = at[places].tolist()
-            there = set(shingles)
-            kept = Counter(k for x in set(words) for k in owners.get(x, ()))
-            for k, n_own in kept.items():
-                if n_own < least[k] or len(there & own[k]) < LEAST_SHARED or there.isdisjoint(prefix[k]):
-                    continue
-                at_places = [p for p, s in zip(places.tolist(), shingles) if s in own[k]]
-                lo, hi = max(0, at_places[0] - WINDOW), at_places[-1] + SHINGLE + WINDOW
-                length, errors = passage(w[lo:hi], items.words[k], items.own[k])
-                if length:
-                    out.append((doc, items.ids[k], length, errors))
+        for doc, w, k, item, own, keys in zip(b.column(0).to_pylist(), _rows(b.column(1)), b.column(2).to_pylist(), _rows(b.column(3)), b.column(4).to_pylist(), _rows(b.column(5))):
+            own = np.array(own, bool)
+            places = np.flatnonzero(np.isin(shingles(w), keys))
+            if len(places) < LEAST_SHARED or len(np.intersect1d(w, item[own])) < least_own(item, own):
+                continue
+            lo, hi = max(0, int(places[0]) - WINDOW), int(places[-1]) + SHINGLE + WINDOW
+            length, errors = passage(w[lo:hi], item, own)
+            if length:
+                out.append((doc, k, length, errors))
         if out:
             cols = list(zip(*out))
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int32())], names=["doc_id", "item_id", "n_words", "n_altered"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "whole", "n_words", "n_altered"])
 
 
-def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
+def leaked_items(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """(doc_id, item_id, n_words, n_altered) of each document that holds a passage of an item.
 
     A passage is at least 16 consecutive words of an item, no more than one in
-    eight altered, left out or put in, whatever their case, punctuation, markup
-    and line breaks, with remarks put in between allowed. Sentences at an item's
-    ends that other items share don't count. Null and empty texts hold nothing;
-    items of less than 16 such words can't be found. Equal texts give a row each;
-    rows with equal ids are one document. Texts are read whole.
+    eight altered, left out or put in; it begins and ends with an unaltered word, so
+    a shorter quote is none. It may stand in whatever case, punctuation, markup and
+    line breaks, with remarks of 4 to 40 words put in between. At least
+    half of the item's own words in it must be unaltered. Sentences at an item's
+    ends that other items share don't count. Items of equal words leak together.
+    Null and empty texts hold nothing; items of less than 16 such words can't be
+    found. Equal texts give a row each; rows with equal ids are one document. Texts
+    are read whole. Other columns of either table are not read.
     """
     spark = docs.sparkSession
-    rows = sorted((r[0], r[1]) for r in items.select(item_key, item_text).where(F.col(item_text).isNotNull()).collect())
-    content = contents([t for _, t in rows])
-    own = own_words(content)
-    found = None
-    for lo in range(0, max(1, len(rows)), per_block):
-        block = block_of_items([k for k, _ in rows[lo : lo + per_block]], content[lo : lo + per_block], own[lo : lo + per_block])
-        sent = spark.sparkContext.broadcast(block)
-        hits = materialise(docs.select(F.col(key).cast("long"), text).mapInArrow(lambda it, s=sent: shared_stretches(it, s.value), _HITS), "shared-stretches")
-        docs_with = np.zeros(len(block.shingles), np.int64)
-        for r in hits.where("shingle is not null").groupBy("shingle").agg(F.sum("n").alias("n")).collect():
-            docs_with[r["shingle"]] = r["n"]
-        index = spark.sparkContext.broadcast(prefix_shingles(block, docs_with))
-        part = hits.where("doc is not null").select("doc", "words").mapInArrow(lambda it, s=sent, x=index: _verify(it, s.value, x.value), _FOUND)
-        found = part if found is None else found.unionByName(part)
-    return found.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_words", "n_altered")).alias("x")).select("doc_id", "item_id", "x.n_words", "x.n_altered")
+    contents, members = item_contents(items, item_key, item_text)
+    n = contents.agg(F.coalesce(F.sum(F.size("words")), F.lit(0))).first()[0]
+    owned = F.filter(F.zip_with("words", "own", lambda w, o: F.when(o, w)), lambda x: x.isNotNull())
+    filters = Filters(bitmap(contents.select(F.explode("words").alias("x")), n), bitmap(contents.select(F.explode(owned).alias("x")), n), bitmap(contents.select(F.explode("keys").alias("x")), n))
+    sent = spark.sparkContext.broadcast(filters)  # at most three times MOST_BITS
+    hits = docs.select(F.col(key).cast("long"), text).mapInArrow(lambda it: shared_stretches(it, sent.value), _HITS)
+    hits = materialise(hits.withColumn("stretch", F.monotonically_increasing_id()), "shared-stretches")
+    rarity = hits.where("token is not null").groupBy("token").agg(F.sum("n").alias("n"))
+    known = contents.select("whole", F.explode(F.array_distinct(owned)).alias("token")).join(rarity, "token")
+    known = known.groupBy("whole").agg(F.collect_list("token").alias("known"), F.collect_list("n").alias("n"))
+    prefixes = contents.join(known, "whole").select("whole", "words", "own", "known", "n").mapInArrow(_prefixes, "whole long, token long")
+    asked = hits.where("doc is not null").select("stretch", F.explode("tokens").alias("token"))
+    pairs = materialise(asked.join(prefixes, "token").select("stretch", "whole").distinct(), "leak-candidates")
+    tasks = max(spark.sparkContext.defaultParallelism, -(-pairs.count() // PER_TASK))
+    whole = pairs.join(hits.where("doc is not null").select("stretch", "doc", F.col("words").alias("text")), "stretch").join(contents, "whole")
+    held = whole.repartition(tasks, "stretch", "whole").select("doc", "text", "whole", "words", "own", "keys").mapInArrow(_verify, _FOUND)
+    best = held.join(members, "whole").groupBy("doc_id", F.col("item").alias("item_id")).agg(F.max(F.struct("n_words", "n_altered")).alias("x"))
+    return best.select("doc_id", "item_id", "x.n_words", "x.n_altered")
