@@ -51,6 +51,7 @@ CHUNK_CHARS = 1_000_000
 #: Least and most bits of a bitmap, and bits for each number in it between them.
 LEAST_BITS, MOST_BITS, BITS_EACH = 1 << 16, 1 << 30, 64
 CACHED_WORDS = 1_000_000
+ROWS_AT_ONCE = 512
 #: Candidates that one task aligns.
 PER_TASK = 5_000
 
@@ -334,8 +335,9 @@ def passage(doc: np.ndarray, item: np.ndarray, own: np.ndarray) -> tuple[int, in
         cost = _altered(gap_d, gap_i) + 0.25 * ((gap_d - gap_i) >= REMARK[0])
         via = np.where((gap_i >= 0) & (gap_i <= 4), score[lo:hi] - cost, -np.inf)
         j = int(via.argmax())
-        if via[j] > 0:
-            score[k], back[k] = via[j] + 1, lo + j
+        # Where a chain begins with altered words it may score nothing and yet be longer.
+        if via[j] > -WINDOW // PER_ALTERED - 1:
+            score[k], back[k] = max(1.0, via[j] + 1), lo + j
     best = (0, 0)
     used = np.zeros(n, bool)
     first = np.arange(n)
@@ -363,18 +365,22 @@ def _altered(gap_d: np.ndarray, gap_i: np.ndarray) -> np.ndarray:
 
 
 def _longest(d: np.ndarray, i: np.ndarray, own: np.ndarray) -> tuple[int, int]:
+    """Words and altered words of the longest passage in a chain."""
     altered = np.concatenate([[0], np.cumsum(_altered(np.diff(d) - 1, np.diff(i) - 1))])
-    length = i[None, :] - i[:, None] + 1
-    errors = altered[None, :] - altered[:, None]
     upto = np.concatenate([[0], np.cumsum(own)])
     kept = np.concatenate([[0], np.cumsum(own[i])])
-    n_own = upto[i + 1][None, :] - upto[i][:, None]
-    n_kept = kept[1:][None, :] - kept[:-1][:, None]
-    ok = (length >= WINDOW) & (errors * PER_ALTERED <= length) & (n_own > 0) & (n_kept * 2 >= n_own)
-    if not ok.any():
-        return 0, 0
-    a, b = np.unravel_index(np.where(ok, length, 0).argmax(), length.shape)
-    return int(length[a, b]), int(errors[a, b])
+    best = (0, 0)
+    for lo in range(0, len(i), ROWS_AT_ONCE):
+        a = slice(lo, lo + ROWS_AT_ONCE)
+        length = i[None, :] - i[a, None] + 1
+        errors = altered[None, :] - altered[a, None]
+        n_own = upto[i + 1][None, :] - upto[i[a]][:, None]
+        n_kept = kept[1:][None, :] - kept[:-1][a, None]
+        ok = (length >= WINDOW) & (errors * PER_ALTERED <= length) & (n_own > 0) & (n_kept * 2 >= n_own)
+        if ok.any():
+            x, y = np.unravel_index(np.where(ok, length, 0).argmax(), length.shape)
+            best = max(best, (int(length[x, y]), int(errors[x, y])), key=lambda z: (z[0], -z[1]))
+    return best
 
 
 def least_own(words: np.ndarray, own: np.ndarray) -> int:
