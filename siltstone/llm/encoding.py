@@ -57,7 +57,8 @@ START_TRUST = 0.5
 START_COUNT = 4.0
 #: Texts that one task takes.
 PER_TASK = 4_000
-PAIRS_AT_ONCE = 8_000
+PAIRS_AT_ONCE = 2_000
+CACHED_UNITS = 20_000
 _FLOOR = 0.02
 _LOST = -30.0
 #: What a text that some UTF-8 cipher explains counts as clean at first.
@@ -218,45 +219,53 @@ class Swaps:
                             m[self.at[x]] = self.at[y] if y != "�" else bad
                     rows.append(m)
                     self.labels.append((r, w))
+        self.seen: dict[tuple[str, str, str], tuple[np.ndarray, np.ndarray]] = {}
         self.maps = np.array(rows, np.int16) if rows else np.zeros((0, len(chars) + 1), np.int16)
 
     def best(self, texts: list[list[tuple[str, str, str]]]) -> list[tuple[int, float]]:
         """Of each text, given as its units (before, run, after), the pair of pages with the largest gain."""
-        out: list[tuple[int, float]] = []
+        if not len(self.maps):
+            return [(-1, 0.0)] * len(texts)
+        if len(self.seen) > CACHED_UNITS:
+            self.seen.clear()
         part, n = [], 0
-        for t in texts:
-            part.append(t)
-            n += sum(len(r) + 1 for _, r, _ in t)
+        for u in {u for t in texts for u in t if u not in self.seen}:
+            part.append(u)
+            n += len(u[1]) + 1
             if n >= PAIRS_AT_ONCE:
-                out += self._best(part)
+                self._gains(part)
                 part, n = [], 0
-        return out + (self._best(part) if part else [])
-
-    def _best(self, texts: list[list[tuple[str, str, str]]]) -> list[tuple[int, float]]:
-        if not len(self.maps):
-            return [(-1, 0.0)] * len(texts)
-        get, other = self.at.get, self.other
-        first, second, starts, per_text = [], [], [], []
+        if part:
+            self._gains(part)
+        out = []
         for t in texts:
-            per_text.append(len(starts))
-            for before, run, after in t:
-                starts.append(len(first))
-                ids = [get(c, other) for c in before + run + after]
-                first += ids[:-1]
-                second += ids[1:]
-        a, b = np.array(first), np.array(second)
+            known = [self.seen[u] for u in t]
+            if len(known) == 1:
+                at, gain = known[0]
+            else:
+                at = np.arange(len(self.maps))
+                gain = np.bincount(np.concatenate([k for k, _ in known]), np.concatenate([g for _, g in known]), len(self.maps))
+            k = int(gain.argmax()) if len(gain) else -1
+            out.append((int(at[k]), float(gain[k])) if k >= 0 and gain[k] > 0 else (-1, 0.0))
+        return out
+
+    def _gains(self, some: list[tuple[str, str, str]]) -> None:
+        """Remembers of each unit the pairs of pages that it gains under, and how much."""
+        get, other = self.at.get, self.other
+        first, second, starts = [], [], []
+        for before, run, after in some:
+            starts.append(len(first))
+            ids = [get(c, other) for c in before + run + after]
+            first += ids[:-1]
+            second += ids[1:]
         size = len(self.chars) + 1
-        pairs, where = np.unique(a * size + b, return_inverse=True)
+        pairs, where = np.unique(np.array(first) * size + np.array(second), return_inverse=True)
         x, y = pairs // size, pairs % size
-        here, place = np.unique(np.concatenate([x, y]), return_inverse=True)
-        maps, which = np.unique(self.maps[:, here], axis=0, return_index=True)
-        maps, which = maps[np.argsort(which)], np.sort(which)
-        ix, iy = place[: len(x)], place[len(x) :]
-        gain = self.lm[maps[:, ix], maps[:, iy]] - self.lm[x, y][None, :]
-        by_unit = np.maximum(np.add.reduceat(gain[:, where], starts, axis=1), 0)
-        by_text = np.add.reduceat(by_unit, per_text, axis=1)
-        k = by_text.argmax(axis=0)
-        return [(int(which[i]), float(by_text[i, j])) for j, i in enumerate(k)]
+        gain = self.lm[self.maps[:, x], self.maps[:, y]] - self.lm[x, y][None, :]
+        by_unit = np.add.reduceat(gain[:, where], starts, axis=1)
+        for j, u in enumerate(some):
+            at = np.flatnonzero(by_unit[:, j] > 0)
+            self.seen[u] = (at, by_unit[at, j])
 
 
 class Reader:
