@@ -7,14 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import canonical_identifier, is_orcid, name_identifiers
 from siltstone.llm.collapse import collapse, copies, letters_and_digits, link_letters_and_digits
 from siltstone.llm.encoding import garbled_texts
 from siltstone.llm.language import document_languages, fit_languages, language_segments, main_languages, normal_label_column
 from siltstone.llm.leakage import leaked_items
-from siltstone.llm.names import resolve_organisations, resolve_persons, same_entity_pairs
+from siltstone.llm.names import resolve_organisations, resolve_persons, restored_names, same_entity_pairs
 from siltstone.llm.packing import pack, token_sizes
 from siltstone.operators.flatten import flatten_creators
-from siltstone.runtime import read_table
+from siltstone.runtime import materialise, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,7 +47,8 @@ def p4_collapsed(spark: SparkSession, d: str) -> DataFrame:
     return collapse(c, "seq", fields).select(F.col("first").alias("seq"), F.col("copies").alias("n_copies"))
 
 
-def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Names of persons and of organisations with what they say, and the identifiers of persons' names."""
     rows = flatten_creators(read_table(spark, d, "raw_datacite"))
     creators = rows.where("child = 'creator'")
     is_org = F.coalesce(F.col("name_type") == "Organizational", F.lit(False))
@@ -55,17 +57,21 @@ def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
         .unionByName(rows.where("child = 'affiliation'").select(F.col("value").alias("name")))
         .unionByName(read_table(spark, d, "automated_organization").select("name"))
     )
-    return creators.where(~is_org).select("name"), orgs
+    every = creators.where(~is_org).select("name", F.lit(True).alias("person")).unionByName(orgs.withColumn("person", F.lit(False))).distinct()
+    said = materialise(every.join(restored_names(every), "name"), "names-said")
+    ids = rows.where("child = 'identifier'").select("key", "creator_pos", canonical_identifier(name_identifiers(F.array("value"))).alias("identifier")).where(is_orcid(F.col("identifier")))
+    evidence = creators.where(~is_org).select("key", "creator_pos", "name").join(ids, ["key", "creator_pos"]).select("name", "identifier").distinct()
+    return said.where("person"), said.where("not person"), evidence
 
 
 def p6_entities(spark: SparkSession, d: str) -> DataFrame:
-    persons, orgs = _names(spark, d)
-    return resolve_persons(persons).withColumn("kind", F.lit("person")).unionByName(resolve_organisations(orgs).withColumn("kind", F.lit("org")))
+    persons, orgs, evidence = _names(spark, d)
+    return resolve_persons(persons, evidence).withColumn("kind", F.lit("person")).unionByName(resolve_organisations(orgs).withColumn("kind", F.lit("org")))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    persons, orgs = _names(spark, d)
-    a = same_entity_pairs(resolve_persons(persons)).withColumn("kind", F.lit("person"))
+    persons, orgs, evidence = _names(spark, d)
+    a = same_entity_pairs(resolve_persons(persons, evidence)).withColumn("kind", F.lit("person"))
     b = same_entity_pairs(resolve_organisations(orgs)).withColumn("kind", F.lit("org"))
     return a.unionByName(b).select("kind", "name_a", "name_b")
 
