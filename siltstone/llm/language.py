@@ -35,7 +35,7 @@ WORDS_AT_ONCE = 200_000
 AMBIGUOUS = 0.6
 
 _CODE = re.compile(
-    r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<pre\b.*?(?:</pre>|\Z)|\{\{\{.*?(?:\}\}\}|\Z)|\[code\].*?(?:\[/code\]|\Z)|^(?: {4}|\t)[^\n]*$|`[^`\n]*`|<[/!]?[a-zA-Z][^<>\n]{0,200}>"
+    r"```.*?(?:```|\Z)|~~~.*?(?:~~~|\Z)|<pre\b.*?(?:</pre>|\Z)|\{\{\{.*?(?:\}\}\}|\Z)|\[code\].*?(?:\[/code\]|\Z)|^(?: {4}|\t)[^\n]*$|`[^`\n]*`|<[/!]?[a-zA-Z][^<>\n]*>"
     r"|\]\([^)\s]*\)|\bhttps?://\S+|&[a-zA-Z]{2,8};|^\s*---\s*$|^\[[+-]\d+[^\]\n]*\]\s*$",
     re.S | re.M,
 )
@@ -64,20 +64,32 @@ def mask_code(text: str) -> str:
     return _CODE.sub(lambda m: "\n" + " " * (m.end() - m.start() - 2) + "\n" if m.end() - m.start() > 1 and m.group()[0] in "`~<{[" and "\n" in m.group() else " " * (m.end() - m.start()), text)
 
 
+def _is_code(part: str) -> bool:
+    """A mark of code to every four words."""
+    return len(_CODELIKE.findall(_QUOTED.sub("", part))) * 4 >= len(_WORD.findall(part))
+
+
+def _prose(part: str) -> list[str]:
+    """A paragraph whole, or if it is mostly code its lines that are none."""
+    if not _is_code(part):
+        return [part]
+    return [line for line in part.split("\n") if not _is_code(line)]
+
+
 def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
     """Start, end and lower-case words of each paragraph of prose."""
     masked, at = mask_code(text), 0
     for part in _BREAK.split(masked):
         start = masked.index(part, at) if part else at
         at = start + len(part)
-        words = _WORD.findall(part.lower())
-        if words and len(_CODELIKE.findall(_QUOTED.sub("", part))) * 4 < len(words):
+        words = [w for line in _prose(part) for w in _WORD.findall(line.lower())]
+        if words:
             yield start, at, words
 
 
 def features(word: str) -> np.ndarray:
     """Hashed character n-grams of a word, of one to four characters, and the word itself."""
-    w = f"<{word[:40]}>"
+    w = f"<{word}>"
     grams = [w[i : i + n] for n in (2, 3, 4) for i in range(len(w) - n + 1)]
     grams += [f"={word}", *(c for c in word if c > "\x7f")]
     return np.fromiter((zlib.crc32(g.encode()) & (N_FEATURES - 1) for g in grams), np.int64, len(grams))
@@ -244,8 +256,9 @@ def language_segments(docs: DataFrame, model: Model, key: str = "doc_id", text:
 def document_languages(segments: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """(key, lang, confidence, n_langs): the languages that have a paragraph of at least so many words."""
     long = segments.where(F.col("n_words") >= least_words).groupBy("key", "lang").agg(F.max("confidence").alias("confidence"))
-    n = long.groupBy("key").agg(F.count("*").alias("n_langs"))
-    return long.join(n, "key")
+    # A document has one entry at most for each of the few languages.
+    by = long.groupBy("key").agg(F.collect_list(F.struct("lang", "confidence")).alias("all"))
+    return by.select("key", F.size("all").alias("n_langs"), F.explode("all").alias("x")).select("key", "x.lang", "x.confidence", "n_langs")
 
 
 def main_languages(docs: DataFrame, segments: DataFrame, key: str = "doc_id") -> DataFrame:

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import base64
 import bisect
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,10 +46,13 @@ def token_counter(vocabulary: str) -> Callable[[str], int]:
 
 
 def token_sizes(df: DataFrame, key: str, text: str, vocabulary: str = TOKENIZER) -> DataFrame:
-    """(key, n): tokens of each text, whole. Null and empty texts have none and are left out."""
+    """(key, n): tokens of each text, whole, by a vocabulary file that is sent to the executors. Null and empty texts have none and are left out."""
+
+    name = os.path.basename(vocabulary)
+    df.sparkSession.sparkContext.addFile(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = token_counter(vocabulary)
+        count = token_counter(SparkFiles.get(name))
         for b in batches:
             n = np.array([count(s) if s else 0 for s in b.column(1).to_pylist()], np.int64)
             there = pa.array(n > 0)

@@ -61,3 +61,19 @@ def test_held_out_accuracy(spark, sf):
 def test_no_labels_at_all(spark):
     df = spark.createDataFrame([(1, "some words", None), (2, None, "en")], "doc_id long, text string, lang string")
     L.language_segments(df, L.fit_languages(df)).collect()
+
+
+def test_prose_between_lines_of_code_counts():
+    """One paragraph with more marks of code than a fourth of its words keeps its lines of prose."""
+    text = "a = b[0]; c = {d: e}\nthis line is only prose and says what the code does\nf(x) -> y; g::h(z) | w[1]"
+    assert [w for _, _, w in L.paragraphs(text)] == [SAMPLE_LINE.split()]
+    assert list(L.paragraphs("a = b[0]; c = {d: e}\nf(x) -> y; g::h(z)")) == []
+
+
+SAMPLE_LINE = "this line is only prose and says what the code does"
+
+
+def test_long_tags_and_long_words_are_read_whole():
+    tag = '<a title="' + "mot " * 200 + '">'
+    assert [w for _, _, w in L.paragraphs(f"one {tag}two</a> three")] == [["one", "two", "three"]]
+    assert len(L.features("b" * 39 + "xyz")) > len(L.features("b" * 39)) and not np.array_equal(L.features("b" * 45 + "x"), L.features("b" * 45 + "y"))
