@@ -34,8 +34,8 @@ BACKWARD_COST = 1.0
 LATER_INSTANT_COST = 16.0
 OTHER_ORDER_COST = 64.0
 BLOCK_ROWS = 65_536
-#: No notation is longer.
-LONGEST = 80
+#: Blocks that a source's records without a place in its order are spread over.
+UNORDERED_BLOCKS = 64
 
 # Zone abbreviations in minutes from UTC.
 ABBREVIATIONS = {
@@ -53,7 +53,7 @@ _AMPM = r"(?:\s*([AaPp])\.?[Mm]\.?(?![A-Za-z]))?"
 _ZONE = r"(?:\s*([Zz]|[A-Z]{2,5}|[+-]\d{2}(?::?\d{2})?))?(?:\s*\[?([A-Za-z]+(?:/[A-Za-z0-9_+-]+)+)\]?)?"
 _AT = rf"(?:,?[Tt\s]\s*{_TIME}{_AMPM}{_ZONE})?"
 #: Notation, pattern, and the order in which its groups give y, mo, d, h, mi, s, am/pm, offset, zone.
-_NOTATIONS = [
+NOTATIONS = [
     ("iso", rf"^(\d{{4}})([-/.])(\d{{1,2}})\2(\d{{1,2}}){_AT}$", (1, 3, 4, 5, 6, 7, 8, 9, 10)),
     ("epoch_s", r"^(\d{10})$", (1,)),
     ("epoch_ms", r"^(\d{13})$", (1,)),
@@ -69,7 +69,7 @@ _NOTATIONS = [
     ("dot", rf"^(\d{{1,2}})\.(\d{{1,2}})\.(\d{{4}}){_AT}$", (3, 2, 1, 4, 5, 6, 7, 8, 9)),
     ("english_month", r"^([A-Za-z]{3,9})\.?,?\s+(\d{4})$", (2, 1)),
 ]
-_CODE = {name: i for i, (name, _, _) in enumerate(_NOTATIONS)}
+_CODE = {name: i for i, (name, _, _) in enumerate(NOTATIONS)}
 CANONICAL = r"^\d{4}-\d{2}-\d{2}T(?:[01]\d|2[0-3]):\d{2}:\d{2}Z$"
 CANDIDATES = T.ArrayType(
     T.StructType([T.StructField("fmt", T.IntegerType()), T.StructField("utc_s", T.LongType()), T.StructField("cost", T.DoubleType())])
@@ -89,15 +89,15 @@ def _days(y: Column, mo: Column, d: Column) -> Column:
     return F.when(ok, F.unix_date(F.make_date(F.when(ok, y).otherwise(2000), F.when(ok, mo).otherwise(1), F.when(ok, d).otherwise(1))))
 
 
-def with_interpretations(df: DataFrame, value: str, out: str = "cands") -> DataFrame:
+def with_interpretations(df: DataFrame, value: str, out: str = "cands", conventions: bool = True) -> DataFrame:
     """Adds the array of valid interpretations of a column: structs of notation
-    code, epoch second in UTC and prior cost; empty where the value names no
+    code, epoch second in UTC and prior cost, 0 without conventions; empty where the value names no
     point or period in time. Null, blank and wordy values give an empty array."""
     spark = df.sparkSession
     zones = _java_zones(spark)
     s = F.regexp_replace(F.regexp_replace(F.col(value), r"(?U)^[\s\p{C}]+|[\s\p{C}]+$", ""), r"[\x{A0}\x{2007}\x{202F}]", " ")
     hit = None
-    for name, pattern, groups in _NOTATIONS:
+    for name, pattern, groups in NOTATIONS:
         to = str(_CODE[name]) + "|" + "|".join(f"${g}" if g else "" for g in (*groups, *[0] * (9 - len(groups))))
         test = F.col("_s").rlike(pattern)
         got = F.regexp_replace("_s", pattern, to)
@@ -181,8 +181,8 @@ def with_interpretations(df: DataFrame, value: str, out: str = "cands") -> DataF
         return F.when(zone.isNotNull(), F.when(back(3600), one + 3600).when(back(1800), one + 1800))
 
     d = d.withColumns(instants("a") | instants("b"))
-    other = F.lit(len(_NOTATIONS)) + F.col("_k")
-    cand = lambda code, utc, cost: F.struct(code.cast("int").alias("fmt"), utc.cast("long").alias("utc_s"), F.lit(float(cost)).alias("cost"))
+    other = F.lit(len(NOTATIONS)) + F.col("_k")
+    cand = lambda code, utc, cost: F.struct(code.cast("int").alias("fmt"), utc.cast("long").alias("utc_s"), F.lit(float(cost) if conventions else 0.0).alias("cost"))
     plain = F.array(cand(F.col("_k"), F.coalesce(epoch, F.col("_a1")), 0))
     full = F.array(
         cand(F.col("_k"), F.col("_a1"), 0),
@@ -197,7 +197,7 @@ def with_interpretations(df: DataFrame, value: str, out: str = "cands") -> DataF
 
 def conforming(fmt: Column) -> Column:
     """Whether an interpretation follows the conventions on the order of day and month."""
-    return fmt < len(_NOTATIONS)
+    return fmt < len(NOTATIONS)
 
 
 class Chain:
@@ -408,7 +408,8 @@ def choose_interpretations(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
 
     One row for each input row with emit true and at least one candidate. src is
     the source whose record order counts, seq the order. Null src is a source of
-    its own; rows without seq form one block ahead of the others; equal seq are
+    its own; rows without seq form UNORDERED_BLOCKS blocks ahead of the others, by
+    hash of row_key; equal seq are
     ordered by row_key. Repeated rows each get a row. An empty table gives an
     empty result.
     """
@@ -416,12 +417,13 @@ def choose_interpretations(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
     # would be pushed down and repeat the whole parsing expression.
     rows = df.select(
         F.xxhash64("tab", F.coalesce("src", F.lit("\0"))).alias("g"),
-        F.coalesce(F.floor(F.col("seq") / block_rows), F.lit(-1)).cast("long").alias("block"),
+        F.coalesce(F.floor(F.col("seq") / block_rows), -1 - F.pmod(F.xxhash64("row_key"), F.lit(UNORDERED_BLOCKS))).cast("long").alias("block"),
         F.col("seq").cast("long").alias("seq"), F.col("tab").cast("string").alias("tab"), F.col("row_key").cast("long").alias("row_key"), "emit", "cands",
     )
     solved = rows.repartition("g", "block").sortWithinPartitions("g", "block", "seq", "row_key").drop("seq").mapInArrow(_solve_blocks, _BLOCK_OUT)
     solved = materialise(solved, "timestamp-blocks")
     done = solved.where("kind = 0").select("tab", "row_key", "fmt", "utc_s")
+    # One row for each block of a source; its records stay where they are.
     ends = (
         solved.where("kind = 2").select("g", "block", "emit", "m", "ends", "n_first")
         .groupBy("g").applyInArrow(_join_blocks, "g long, block long, c_first int, c_last int")
@@ -431,16 +433,20 @@ def choose_interpretations(df: DataFrame, block_rows: int = BLOCK_ROWS) -> DataF
     return done.unionByName(rest)
 
 
-def normalise_timestamps(df: DataFrame, value: str = "value", emit: Column | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def normalise_timestamps(df: DataFrame, value: str = "value", emit: Column | None = None, block_rows: int = BLOCK_ROWS, conventions: bool = True) -> DataFrame:
     """(tab, row_key, src, seq, value) -> (tab, row_key, utc): the instant each
     value names as yyyy-MM-ddTHH:mm:ssZ, fractions cut off.
 
     Values that name none, or only against the conventions, have no row; nor have
-    rows for which emit is false, which count as context all the same. Null, empty
-    and overlong values name none; other columns are ignored.
+    rows for which emit is false, which count as context all the same. Null and
+    empty values and long texts name none, blanks around a value don't count; other
+    columns are ignored.
+
+    Without conventions only the path decides: the order of day and month and which
+    of two instants are chosen by the records around.
     """
     wanted = F.lit(True) if emit is None else F.coalesce(emit, F.lit(False))
-    d = df.select("tab", "row_key", "src", "seq", F.when(F.length(value) <= LONGEST, F.col(value)).alias("value"), wanted.alias("emit"))
-    chosen = choose_interpretations(with_interpretations(d, "value"), block_rows)
+    d = df.select("tab", "row_key", "src", "seq", F.col(value).alias("value"), wanted.alias("emit"))
+    chosen = choose_interpretations(with_interpretations(d, "value", conventions=conventions), block_rows)
     utc = F.date_format(F.timestamp_seconds("utc_s"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    return chosen.where(conforming(F.col("fmt"))).select("tab", "row_key", utc.alias("utc"))
+    return (chosen.where(conforming(F.col("fmt"))) if conventions else chosen).select("tab", "row_key", utc.alias("utc"))

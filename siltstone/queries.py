@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.operators.flatten import flatten_creators, flatten_json_lines
-from siltstone.operators.orphans import current_orphans, orphan_references, orphan_report
-from siltstone.operators.timestamps import CANONICAL, normalise_timestamps
+from siltstone.operators.orphans import add_counts, count_changes, orphan_references, orphan_report, orphans_of
+from siltstone.operators.timestamps import ABBREVIATIONS, CANONICAL, MONTHS, NOTATIONS, normalise_timestamps
 from siltstone.runtime import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,12 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return normalise_timestamps(_date_values(spark, d), emit=~F.col("value").rlike(CANONICAL))
 
 
+def p1_by_context(spark: SparkSession, d: str) -> DataFrame:
+    """The same values with the conventions left out: what they leave open is decided
+    by the records around alone."""
+    return normalise_timestamps(_date_values(spark, d), emit=~F.col("value").rlike(CANONICAL), conventions=False)
+
+
 def compact(c: Column) -> Column:
     """Letters and digits only, without case; null if nothing is left."""
     return F.nullif(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]", ""), F.lit(""))
@@ -48,14 +54,28 @@ def _references(spark: SparkSession, d: str) -> tuple[tuple[DataFrame, DataFrame
     return (refs, ids), (to_dataset, sets)
 
 
+BATCH_DAY = "2021-01-01 00:00:00"
+
+
 def _orphans(spark: SparkSession, d: str) -> DataFrame:
     to_map, to_dataset = _references(spark, d)
     return orphan_references(*to_map).unionByName(orphan_references(*to_dataset))
 
 
 def p2_current(spark: SparkSession, d: str) -> DataFrame:
-    to_map, to_dataset = _references(spark, d)
-    return current_orphans(*to_map).unionByName(current_orphans(*to_dataset))
+    """From counts kept batch by batch: what came by a day, and what came later."""
+    out = None
+    for references, records in _references(spark, d):
+        day = F.lit(BATCH_DAY).cast("timestamp")
+        early = count_changes(references, records, day)
+        # The later batch: rows behind the day, and deletions behind it of records before it.
+        added = records.where(F.coalesce(F.col("added_at") > day, F.lit(False)))
+        gone = records.where((F.col("added_at") <= day) & (F.col("deleted_at") > day) & (F.col("deleted_at") > F.col("added_at")))
+        gone = gone.select("key", F.col("deleted_at").alias("added_at"), F.lit(None).cast("timestamp").alias("deleted_at"), F.lit(-1).alias("sign"))
+        later = count_changes(references.where(F.col("at") > day), added.select("key", "added_at", "deleted_at", F.lit(1).alias("sign")).unionByName(gone))
+        part = orphans_of(add_counts(later, early))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -79,7 +99,43 @@ def p5_tables(spark: SparkSession, d: str) -> DataFrame:
     return _children(spark, d).select("tab", F.col("key").alias("seq"), "child", "creator_pos", "item_pos", "name", "name_type", "value")
 
 
-QUERIES: dict[str, Query] = {"p1_found": p1_found, "p2_found": p2_found, "p2_report": p2_report, "p2_current": p2_current, "p5_found": p5_found, "p5_tables": p5_tables}
+QUERIES: dict[str, Query] = {"p1_found": p1_found, "p1_by_context": p1_by_context, "p2_found": p2_found, "p2_report": p2_report, "p2_current": p2_current, "p5_found": p5_found, "p5_tables": p5_tables}
+
+
+
+def _p1_sql() -> str:
+    """The instants in SQL: the notations' patterns without what RE2 lacks, everything
+    behind them by DuckDB's own dates and zones."""
+    # At most nine groups here: the separator of dates is no group of its own.
+    known = [(n, p.replace("([-/.])", "[-/.]"), tuple(g - (g > 2) for g in groups)) if r"\2" in p else (n, p, groups) for n, p, groups in NOTATIONS]
+    plain = lambda p: p.replace(r"\2", "[-/.]").replace(r"\.?(?![A-Za-z])", r"(?:\.|\b)").replace("'", "''")
+    kinds = "".join(f" when regexp_matches(s, '{plain(p)}') then {i}" for i, (_, p, _) in enumerate(known))
+    parts = "".join(
+        f" when {i} then [" + ", ".join(f"regexp_extract(s, '{plain(p)}', {g})" if g else "''" for g in (*groups, *[0] * (9 - len(groups)))) + "]" for i, (_, p, groups) in enumerate(known)
+    )
+    at = {name: i for i, (name, _, _) in enumerate(NOTATIONS)}
+    names = "[" + ", ".join(f"'{m}'" for m in MONTHS) + "]"
+    long = "january|february|march|april|may|june|july|august|september|october|november|december|sept"
+    abbreviations = "map {" + ", ".join(f"'{k}': {v}" for k, v in ABBREVIATIONS.items()) + "}"
+    number = lambda i, d: f"coalesce(try_cast(p[{i}] as bigint), {d})"
+    return f"""
+with v as (select 'citations' tab, seq row_key, citation_date x from citations union all select 'fuji_score', seq, evaluationDate from fuji_score union all select 'raw_datacite', seq, publication_date from raw_datacite),
+t as (select tab, row_key, regexp_replace(regexp_replace(x, '^[\\s\\p{{C}}\\p{{Z}}]+|[\\s\\p{{C}}\\p{{Z}}]+$', '', 'g'), '[\\x{{A0}}\\x{{2007}}\\x{{202F}}]', ' ', 'g') s from v where x is not null and not regexp_matches(x, '{CANONICAL}')),
+n as (select *, case {kinds} end k from t), g as (select *, case k {parts} end p from n where k is not null and not (k = {at['iso']} and regexp_extract(s, '^\\d{{4}}(.)', 1) <> regexp_extract(s, '^\\d{{4}}.\\d{{1,2}}(.)', 1))),
+c as (select *, try_cast(p[1] as hugeint) big, {number(1, 0)} y, case when p[2] = '' then 1 when regexp_full_match(p[2], '[0-9]+') then cast(p[2] as bigint) when regexp_full_match(lower(p[2]), '[a-z]{{3}}|{long}') then nullif(list_position({names}, lower(p[2])[1:3]), 0) end mo,
+ {number(3, 1)} d, case when p[7] = '' then {number(4, 0)} when {number(4, 0)} between 1 and 12 then {number(4, 0)} % 12 + case when lower(p[7]) = 'p' then 12 else 0 end else 99 end h, {number(5, 0)} mi, {number(6, 0)} se, p[8] off, p[9] zone from g),
+w as (select *, case when k = {at['week']} then case when y between 1 and 9999 and mo between 1 and 53 and d between 1 and 7 and isoyear(date_trunc('week', make_date(y, 1, 4)) + to_days(cast((mo - 1) * 7 + d - 1 as int))) = y then cast(date_trunc('week', make_date(y, 1, 4)) + to_days(cast((mo - 1) * 7 + d - 1 as int)) as date) end
+ else try_cast(printf('%04d-%02d-%02d', y, mo, d) as date) end "day" from c),
+l as (select *, case when "day" is not null and mi < 60 and se < 60 and (h < 24 or h = 24 and mi = 0 and se = 0) then "day" + to_seconds(h * 3600 + mi * 60 + se) end local,
+ case when regexp_matches(off, '^[+-]') then (cast(off[2:3] as int) * 60 + coalesce(try_cast(nullif(replace(off, ':', '')[4:5], '') as int), 0)) * case when off like '-%' then -1 else 1 end end off_min from w),
+z as (select l.*, tz.name zn, case when off = '' and zone = '' then 0 when off_min is not null then case when abs(off_min) <= 840 then off_min else 0 end when off <> '' then {abbreviations}[upper(off)] end fixed
+ from l left join (select distinct name from pg_timezone_names()) tz on tz.name = l.zone),
+o as (select *, epoch(timezone(coalesce(zn, 'UTC'), local)) one from z),
+e as (select tab, row_key, case when k = {at['epoch_s']} then big when k = {at['epoch_ms']} then big // 1000 when k = {at['epoch_us']} then big // 1000000 when k = {at['epoch_ns']} then big // 1000000000
+ when zone <> '' and off = '' then case when zn is not null then case when timezone(zn, to_timestamp(one - 3600)) = local then one - 3600 when timezone(zn, to_timestamp(one - 1800)) = local then one - 1800 else one end end
+ else epoch(local) - fixed * 60 end u from o)
+select tab, row_key, strftime(to_timestamp(u) at time zone 'UTC', '%Y-%m-%dT%H:%M:%SZ') utc from e where u between -62135596800 and 253402300799"""
+
 
 _P2 = """
 with refs as (select seq, ingested_at as t, regexp_replace(lower(coalesce(nullif(dataset_id,''),doi)), '[^\\p{L}\\p{N}]', '', 'g') k
@@ -112,6 +168,7 @@ union all select 'raw_emdb', seq, child, cast(creator_pos as int), cast(item_pos
 """
 _P5_ROWS = "select tab, seq, child, creator_pos, item_pos{} from every"
 ORACLE: dict[str, str] = {
+    "p1_found": _p1_sql(),
     "p2_found": _P2 + "select * from found",
     "p2_current": _P2 + """ select 'citations' tab, k as "key", count(*) n_references from refs where k not in (select k from ids where deleted_at is null) group by 2
  union all select tab, cast(datasetId as varchar), count(*) from d where datasetId not in (select id from dataset) group by 1, 2""",

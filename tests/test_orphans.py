@@ -3,7 +3,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from siltstone.operators.orphans import current_orphans, orphan_references, orphan_report
+from siltstone.operators.orphans import COUNTS, add_counts, count_changes, current_orphans, orphan_references, orphan_report, orphans_of
 
 REFS = "tab string, row_key long, key string, at timestamp, n int"
 RECS = "key string, added_at timestamp, deleted_at timestamp, n int"
@@ -61,3 +61,23 @@ def test_current(spark):
     assert sorted(map(tuple, current_orphans(refs, recs).collect())) == [("x", "b", 2), ("x", "e", 1), ("x", "z", 1), ("y", "b", 1)]
     assert sorted(map(tuple, current_orphans(refs, recs, F.lit(t(4))).collect())) == [("x", "c", 1), ("x", "e", 1), ("x", "z", 1)]
     assert current_orphans(refs.limit(0), recs).count() == 0
+
+
+def test_counts_kept_by_batches(spark):
+    """Changes in random batches, some taken back later, against the state of the rest."""
+    rng = random.Random(5)
+    keys = [None, "a", "b", "c", "d"]
+    recs = [(rng.choice(keys), t(rng.randrange(50)), None, rng.choice([1, 1, -1])) for _ in range(40)]
+    refs = [(rng.choice(["x", "y"]), 0, rng.choice([*keys, "zz"]), t(1), rng.choice([1, 1, -1])) for _ in range(60)]
+    counts = spark.createDataFrame([], COUNTS)
+    for n in range(3):
+        f = spark.createDataFrame(refs[n::3], REFS).withColumnRenamed("n", "sign")
+        r = spark.createDataFrame(recs[n::3], RECS).withColumnRenamed("n", "sign")
+        counts = add_counts(count_changes(f, r), counts)
+    net, living = {}, {}
+    for tab, _, k, _, n in refs:
+        net[(tab, k)] = net.get((tab, k), 0) + n
+    for k, _, _, n in recs:
+        living[k] = living.get(k, 0) + n
+    want = sorted((tab, k, n) for (tab, k), n in net.items() if k is not None and n > 0 and living.get(k, 0) <= 0)
+    assert sorted(map(tuple, orphans_of(counts).collect())) == want

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltstone.operators import timestamps as T
 
@@ -98,3 +99,26 @@ def test_path_is_the_cheapest_whatever_the_blocks(spark, block):
 def test_context_decides_where_priors_leave_it_open():
     chain = T.Chain(np.array([1, 1, 2, 1]), np.array([0, 5, 5, 9]), np.zeros(4), np.array([0, 1, 3, 4]))
     assert chain.best(0, 2) == [0, 0, 0]
+
+
+def test_blanks_before_a_value_do_not_count(spark):
+    rows = [("t", 1, "s", 1, " " * 81 + "2020-01-02" + "\t" * 100, 1, "x")]
+    assert [r.utc for r in T.normalise_timestamps(spark.createDataFrame(rows, SCHEMA)).collect()] == ["2020-01-02T00:00:00Z"]
+
+
+def test_without_conventions_the_records_around_decide(spark):
+    """Against every path, by cost, over a source whose order of day and month is unknown."""
+    rng = random.Random(3)
+    said = ["25/03/2019", "26/03/2019", "03/04/2019", "05/04/2019", "2019-04-06", "04.07.2019", "07/08/2019", "2014-11-02T01:35:12 America/Chicago", "12/13/2019"]
+    rows = [("t", i, "s", i, rng.choice(said), 1, "x") for i in range(11)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    cands = [[(c.fmt, c.utc_s) for c in r.cands] for r in T.with_interpretations(df, "value", conventions=False).orderBy("seq").collect()]
+    cost = lambda path: sum((a[0] != b[0]) + (b[1] < a[1]) for a, b in zip(path, path[1:]))
+    least = min(map(cost, itertools.product(*cands)))
+    for block in (3, 100):
+        chosen = {r.row_key: (r.fmt, r.utc_s) for r in T.choose_interpretations(T.with_interpretations(df, "value", conventions=False).withColumn("emit", F.lit(True)), block).collect()}
+        assert cost([chosen[i] for i in range(len(rows))]) == least
+    first = [("t", i, "s", i, v, 1, "x") for i, v in enumerate(["25/03/2019", "01/04/2019", "02/04/2019", "13/04/2019"])]
+    first = spark.createDataFrame(first, SCHEMA)
+    assert [r.utc[:10] for r in T.normalise_timestamps(first, conventions=False).orderBy("row_key").collect()] == ["2019-03-25", "2019-04-01", "2019-04-02", "2019-04-13"]
+    assert [r.utc[:10] for r in T.normalise_timestamps(first).orderBy("row_key").collect()] == ["2019-01-04", "2019-02-04"]
