@@ -513,7 +513,8 @@ def learn(texts: DataFrame, rounds: int = ROUNDS) -> Model:
     sent = spark.sparkContext.broadcast(letters)
     by_table = judged.where("what = 'text'").select("source", "label", "text", "n")
     tables, kind = None, "map<string,map<string,double>>"
-    for _ in range(rounds):
+    # Without texts of such a swap there is nothing to learn.
+    for _ in range(1 if by_table.isEmpty() else max(1, rounds)):
         none = [F.lit(None).cast("map<string,string>").alias("table"), F.lit(None).cast(kind).alias("chances")]
         here = by_table.select("*", *none) if tables is None else by_table.join(tables, ["source", "label"])
 

@@ -276,7 +276,7 @@ def restored_names(names: DataFrame) -> DataFrame:
     """(name) -> (name, said), each name once: wrong decodings undone as far as they can
     be. Null and blank names have no row."""
     n = names.where("name is not null and trim(name) <> ''").select("name").distinct()
-    fixed = garbled_texts(n.select(F.lit("names").alias("source"), F.lit(0).alias("id"), F.lit(0).alias("pos"), F.col("name").alias("text")))
+    fixed = garbled_texts(n.select(F.lit("names").alias("source"), F.lit(0).alias("id"), F.lit(0).alias("pos"), F.col("name").alias("text")), rounds=2)
     fixed = fixed.select(F.col("text").alias("name"), "restored")
     return n.join(fixed, "name", "left").select("name", F.coalesce("restored", "name").alias("said"))
 
@@ -328,12 +328,15 @@ def resolve_persons(names: DataFrame, evidence: DataFrame | None = None) -> Data
     known = sure.select("name", F.col("one").alias("family"), F.element_at(F.split(F.coalesce("two", F.lit("")), " "), 1).alias("given"), "initial").unionByName(settled)
     known = materialise(known, "person-names")
     # Slips in given names: rare ones against common ones.
-    given = known.where("given <> ''").groupBy(F.col("given").alias("token")).agg(F.countDistinct("family").alias("n")).withColumn("context", F.lit("given"))
-    to = slips(given).where((F.col("ny") >= F.col("nx") * COMMONER) & (F.col("slips") == 1)).groupBy(F.col("x").alias("given")).agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
-    known = known.join(to, "given", "left").withColumn("given", F.coalesce("better", "given")).drop("better")
-    # Short forms that several given names share keep an open place: the family decides.
     spark = names.sparkSession
     pets = spark.createDataFrame([(s_, f) for f, ss in PET_FORMS.items() for s_ in ss.split()], "short string, full string")
+    given = known.where("given <> ''").groupBy("given").agg(F.countDistinct("family").alias("n"))
+    spelt = given.select("given").union(pets.select("full")).distinct().select(F.col("given").alias("token"), F.lit("").alias("context"), F.lit(0).cast("long").alias("n"))
+    near = slips(spelt).where("slips = 1").select("x", "y")
+    counts = lambda c, n: given.select(F.col("given").alias(c), F.col("n").alias(n))
+    to = near.join(counts("x", "nx"), "x").join(counts("y", "ny"), "y").where(F.col("ny") >= F.col("nx") * COMMONER).groupBy(F.col("x").alias("given")).agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
+    known = known.join(to, "given", "left").withColumn("given", F.coalesce("better", "given")).drop("better")
+    # Short forms that several given names share keep an open place: the family decides.
     if evidence is not None:
         pets = pets.unionByName(short_forms(known, evidence))
     pets = pets.groupBy(F.col("short").alias("given")).agg(F.array_sort(F.collect_set("full")).alias("fulls"))
@@ -347,7 +350,8 @@ def resolve_persons(names: DataFrame, evidence: DataFrame | None = None) -> Data
     # Given names of one family that are a slip apart are one.
     fulls = r.where("size(could_be) = 1").groupBy(F.concat_ws("\x1f", "root", "start").alias("context"), F.col("could_be")[0].alias("token")).agg(F.countDistinct("name").alias("n"))
     fulls = fulls.join(fulls.groupBy("context").agg(F.count("*").alias("k")).where("k > 1").select("context"), "context")
-    same = slips(fulls).where("slips = 1 and struct(ny, y) > struct(nx, x)").groupBy("context", "x").agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
+    two = fulls.select("context", F.col("token").alias("x"), F.col("n").alias("nx")).join(near, "x").join(fulls.select("context", F.col("token").alias("y"), F.col("n").alias("ny")), ["context", "y"])
+    same = two.where("struct(ny, y) > struct(nx, x)").groupBy("context", "x").agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
     same = same.select(F.col("context").alias("family_context"), F.col("x").alias("slip"), "better")
     alone = F.when(F.size("could_be") == 1, F.try_element_at("could_be", F.lit(1)))
     r = r.withColumn("family_context", F.concat_ws("\x1f", "root", "start")).withColumn("slip", alone).join(same, ["family_context", "slip"], "left")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,15 +65,23 @@ def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
     return said.where("person"), said.where("not person"), evidence
 
 
-def p6_entities(spark: SparkSession, d: str) -> DataFrame:
+def _entities(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Persons and organisations, resolved side by side: their jobs are many and small."""
     persons, orgs, evidence = _names(spark, d)
-    return resolve_persons(persons, evidence).withColumn("kind", F.lit("person")).unionByName(resolve_organisations(orgs).withColumn("kind", F.lit("org")))
+    with ThreadPoolExecutor(2) as both:
+        a, b = both.submit(resolve_persons, persons, evidence), both.submit(resolve_organisations, orgs)
+        return a.result(), b.result()
+
+
+def p6_entities(spark: SparkSession, d: str) -> DataFrame:
+    persons, orgs = _entities(spark, d)
+    return persons.withColumn("kind", F.lit("person")).unionByName(orgs.withColumn("kind", F.lit("org")))
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    persons, orgs, evidence = _names(spark, d)
-    a = same_entity_pairs(resolve_persons(persons, evidence)).withColumn("kind", F.lit("person"))
-    b = same_entity_pairs(resolve_organisations(orgs)).withColumn("kind", F.lit("org"))
+    persons, orgs = _entities(spark, d)
+    a = same_entity_pairs(persons).withColumn("kind", F.lit("person"))
+    b = same_entity_pairs(orgs).withColumn("kind", F.lit("org"))
     return a.unionByName(b).select("kind", "name_a", "name_b")
 
 
