@@ -20,6 +20,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.runtime import materialise
+
 Canonical = Callable[[pa.Array], pa.Array]
 
 
@@ -98,6 +100,7 @@ def collapse(df: DataFrame, key: str, fields: dict[str, Canonical]) -> DataFrame
 
 def copies(df: DataFrame, key: str, fields: dict[str, Canonical]) -> DataFrame:
     """(first, copy): each record behind the first of its group, with the group's smallest key."""
-    encoded = encode_records(df, key, fields)
+    # 24 bytes a record, written once: both sides read them, the strings are read once.
+    encoded = materialise(encode_records(df, key, fields), "record-tuples")
     several = _groups(encoded).where("copies > 1").select("hi", "lo", "first")
     return encoded.join(several, ["hi", "lo"]).where("key > first").select("first", F.col("key").alias("copy"))
