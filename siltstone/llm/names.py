@@ -7,9 +7,9 @@ A person is a family name with a given name, an organisation a set of common wor
 
 Tokens typed with an error are found by suffix blocking. Every suffix of a token
 and of its reverse is indexed from a least length on, within what else is known of
-the name. A block of more than BLOCK tokens is refined, first with the token's
-other end, then with all that one slip leaves of it, and only what lies in a block
-together is compared, by the ratio of the longest common subsequence, many pairs
+the name. A block of more than BLOCK tokens is refined, with the token's other end
+and with all that one slip leaves of it, and only what lies in a block together is
+compared, by the ratio of the longest common subsequence, many pairs
 at a time on the bits of whole numbers. Suffixes that are still too common are
 left to the refined blocks; there every pair of one slip meets again.
 
@@ -167,18 +167,18 @@ def suffixes(token: str) -> list[str]:
     return [f">{token[n - k :]}" for k in range(least, n + 1)] + [f"<{token[:k]}" for k in range(least, n)]
 
 
+def refined(token: str) -> str:
+    """The shortest suffix, where it is common, with as many letters of the beginning."""
+    k = least_suffix(len(token))
+    return f"{token[:k]}/{token[len(token) - k :]}"
+
+
 def shapes(token: str) -> list[str]:
     """What is left of a token by a gap of one or two letters, the gap marked: tokens of one slip have one in common."""
     n = len(token)
     return sorted({f"{token[:p]} {token[p + g :]}" for g in (1, 2) for p in range(n - g + 1) if n - g >= 1})
 
 
-def refined(token: str, key: str) -> str:
-    """A suffix with the letters at the token's other end, as many as a slip elsewhere leaves."""
-    k = least_suffix(len(token))
-    return f"{key}/{token[:k] if key[0] == '>' else token[len(token) - k :]}"
-
-
 def _keys(batches: Iterator[pa.RecordBatch], keys) -> Iterator[pa.RecordBatch]:
     """(context, token, n, ...) with a row for each key of a row."""
     for b in batches:
@@ -208,13 +208,12 @@ def close_tokens(tokens: DataFrame) -> DataFrame:
     being 1 or more. Pairs of one slip are all there; of others those that share a
     suffix or prefix that is not too common. Empty tokens have no pairs."""
     t = tokens.where(F.length("token") > 0).select("context", "token", "n")
-    pairs, large = _blocked(t.mapInArrow(lambda it: _keys(it, lambda r: suffixes(r["token"])), _KEYED))
-    again, _ = _blocked(large.mapInArrow(lambda it: _keys(it, lambda r: [refined(r["token"], r["key"])]), _KEYED))
+    pairs, large = _blocked(t.mapInArrow(lambda it: _keys(it, lambda r: [*suffixes(r["token"]), refined(r["token"])]), _KEYED))
     # Two tokens that share no block of those meet in large ones only: there by what one slip leaves.
     rest = large.select("context", "token", "n").distinct().mapInArrow(lambda it: _keys(it, lambda r: shapes(r["token"])), _KEYED)
     a, b = rest, rest.select("context", "key", F.col("token").alias("y"), F.col("n").alias("ny"))
     last = a.join(b, ["context", "key"]).where("token < y").select("context", F.col("token").alias("x"), "y", F.col("n").alias("nx"), "ny")
-    every = pairs.unionByName(again).unionByName(last).where(f"2 * least(length(x), length(y)) >= {LEAST_RATIO} * (length(x) + length(y)) / 1.0").distinct()
+    every = pairs.unionByName(last).where(f"2 * least(length(x), length(y)) >= {LEAST_RATIO} * (length(x) + length(y)) / 1.0").distinct()
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -336,6 +335,7 @@ def resolve_persons(names: DataFrame, evidence: DataFrame | None = None) -> Data
     counts = lambda c, n: given.select(F.col("given").alias(c), F.col("n").alias(n))
     to = near.join(counts("x", "nx"), "x").join(counts("y", "ny"), "y").where(F.col("ny") >= F.col("nx") * COMMONER).groupBy(F.col("x").alias("given")).agg(F.max_by("y", F.struct("ny", "y")).alias("better"))
     known = known.join(to, "given", "left").withColumn("given", F.coalesce("better", "given")).drop("better")
+    known = materialise(known, "person-slips")
     # Short forms that several given names share keep an open place: the family decides.
     if evidence is not None:
         pets = pets.unionByName(short_forms(known, evidence))
@@ -356,6 +356,7 @@ def resolve_persons(names: DataFrame, evidence: DataFrame | None = None) -> Data
     alone = F.when(F.size("could_be") == 1, F.try_element_at("could_be", F.lit(1)))
     r = r.withColumn("family_context", F.concat_ws("\x1f", "root", "start")).withColumn("slip", alone).join(same, ["family_context", "slip"], "left")
     r = r.withColumn("could_be", F.when(F.col("better").isNotNull(), F.array("better")).otherwise(F.col("could_be"))).select("name", "could_be", "start", "root")
+    r = materialise(r, "person-variants")
     # The first three or four letters of a much longer given name of the family stand for it.
     fulls = r.where("size(could_be) = 1").select("root", "start", F.col("could_be")[0].alias("full")).distinct().withColumn("head", F.substring("full", 1, 3))
     cut = fulls.where("length(full) between 3 and 4").withColumnRenamed("full", "short").join(fulls, ["root", "start", "head"])
@@ -365,7 +366,7 @@ def resolve_persons(names: DataFrame, evidence: DataFrame | None = None) -> Data
     r = materialise(r, "person-givens")
     full = r.where("size(could_be) = 1").select("root", "start", F.col("could_be")[0].alias("full")).distinct()
     n_full = full.groupBy("root", "start").agg(F.count("*").alias("n_full"), F.min("full").alias("only"))
-    at = r.join(n_full, ["root", "start"], "left")
+    at = materialise(r.join(n_full, ["root", "start"], "left"), "person-fulls")
     exact = at.where("size(could_be) = 1").select("name", F.concat_ws("|", "root", F.col("could_be")[0]).alias("entity"))
     by_initial = at.where("size(could_be) = 0 and n_full = 1").select("name", F.concat_ws("|", "root", "only").alias("entity"))
     # Without a full name, a lone short form of several is what initials stand for.
@@ -449,7 +450,7 @@ def resolve_organisations(names: DataFrame) -> DataFrame:
 
 def same_entity_pairs(resolved: DataFrame) -> DataFrame:
     """(name, entity) -> (name_a, name_b), a < b by code point: all pairs of each entity."""
-    once = resolved.select("entity", "name").distinct()
+    once = materialise(resolved.select("entity", "name").distinct(), "entities")
     several = once.join(once.groupBy("entity").agg(F.count("*").alias("k")).where("k > 1").select("entity"), "entity")
     a, b = several.select("entity", F.col("name").alias("name_a")), several.select("entity", F.col("name").alias("name_b"))
     return a.join(b, "entity").where("name_a < name_b").select("name_a", "name_b").distinct()

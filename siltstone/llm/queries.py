@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,11 +65,9 @@ def _names(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame
 
 
 def _entities(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Persons and organisations, resolved side by side: their jobs are many and small."""
+    """Persons and organisations, one after the other: side by side their plans ask too much of a small driver."""
     persons, orgs, evidence = _names(spark, d)
-    with ThreadPoolExecutor(2) as both:
-        a, b = both.submit(resolve_persons, persons, evidence), both.submit(resolve_organisations, orgs)
-        return a.result(), b.result()
+    return resolve_persons(persons, evidence), resolve_organisations(orgs)
 
 
 def p6_entities(spark: SparkSession, d: str) -> DataFrame:
