@@ -64,16 +64,14 @@ def mask_code(text: str) -> str:
     return _CODE.sub(lambda m: "\n" + " " * (m.end() - m.start() - 2) + "\n" if m.end() - m.start() > 1 and m.group()[0] in "`~<{[" and "\n" in m.group() else " " * (m.end() - m.start()), text)
 
 
-def _is_code(part: str) -> bool:
+def _is_code(part: str, n_words: int) -> bool:
     """A mark of code to every four words."""
-    return len(_CODELIKE.findall(_QUOTED.sub("", part))) * 4 >= len(_WORD.findall(part))
+    return len(_CODELIKE.findall(_QUOTED.sub("", part))) * 4 >= n_words
 
 
-def _prose(part: str) -> list[str]:
-    """A paragraph whole, or if it is mostly code its lines that are none."""
-    if not _is_code(part):
-        return [part]
-    return [line for line in part.split("\n") if not _is_code(line)]
+def _line_words(line: str) -> list[str]:
+    words = _WORD.findall(line.lower())
+    return [] if _is_code(line, len(words)) else words
 
 
 def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
@@ -82,7 +80,10 @@ def paragraphs(text: str) -> Iterator[tuple[int, int, list[str]]]:
     for part in _BREAK.split(masked):
         start = masked.index(part, at) if part else at
         at = start + len(part)
-        words = [w for line in _prose(part) for w in _WORD.findall(line.lower())]
+        words = _WORD.findall(part.lower())
+        if words and _is_code(part, len(words)):
+            # Mostly code: its lines that are none.
+            words = [w for line in part.split("\n") for w in _line_words(line)]
         if words:
             yield start, at, words
 
