@@ -339,12 +339,14 @@ def _ranked(spark: SparkSession, d: str, links: DataFrame, named: DataFrame) ->
     return reports.top_ranked(ranked.join(named, "entity"), ["score"], "entity", _TOP)
 
 
-@query("top_datasets_by_mentions", f"""with {_INDEX}, mn as (select cast(event_id % 2000 as int) id, count(*) n_mentions, sum("value" / 100) w from events group by 1 having count(*) > 1), nc as (select datasetId id, count(*) n from r group by 1), la as (select id, arg_max(score, y) score from ix group by 1)
- select d.id, n_mentions, round(w, 4) mention_weight, coalesce(nc.n, 0) n_citations, round(la.score, 5) score from dataset d join mn using (id) left join nc using (id) left join la using (id)""")
+@query("top_datasets_by_mentions", f"""with {_INDEX}, mn as (select cast(event_id % 2000 as int) id, count(*) n_mentions, sum("value" / 100) w from events group by 1), nc as (select datasetId id, count(*) n from r group by 1), la as (select id, arg_max(score, y) score from ix group by 1)
+ select d.id, d.identifier, d.identifierType, d.title, d.publisher, n_mentions, round(w, 4) mention_weight, coalesce(nc.n, 0) n_citations, round(la.score, 4) score from dataset d join mn using (id) left join nc using (id) left join la using (id)
+ order by n_mentions desc, mention_weight desc, d.id limit {_TOP}""")
 def _(spark, d):
-    ds = table(spark, d, "dataset").select("id")
+    ds = table(spark, d, "dataset").select("id", "identifier", "identifierType", "title", "publisher")
     r = reports.ranked_datasets(ds, _mentions(spark, d), _cited(spark, d), impact.latest_index(_index(spark, d)))
-    return r.select("id", "n_mentions", F.round("mention_weight", 4).alias("mention_weight"), "n_citations", F.round("score", 5).alias("score"))
+    top = reports.top_ranked(r, ["n_mentions", "mention_weight"], "id", _TOP, digits=4)
+    return top.select("id", "identifier", "identifierType", "title", "publisher", "n_mentions", "mention_weight", "n_citations", F.round("score", 4).alias("score"))
 
 
 # ------------------------------------------------------------------ entities and ingest

@@ -71,7 +71,7 @@ def top_ranked(ranked: DataFrame, by: list[str], tie: str, limit: int, digits: i
     return rounded.orderBy(*[F.desc_nulls_last(c) for c in by], tie).limit(limit)
 
 
-def ranked_datasets(datasets: DataFrame, mentions: DataFrame, citations: DataFrame, latest: DataFrame, least: int = 1) -> DataFrame:
+def ranked_datasets(datasets: DataFrame, mentions: DataFrame, citations: DataFrame, latest: DataFrame, least: int = 0) -> DataFrame:
     """Datasets by mentions: more than `least`, with the sum of weights, citations and latest score."""
     m = mentions.groupBy("id").agg(F.count("*").alias("n_mentions"), F.coalesce(F.sum("weight"), F.lit(0.0)).alias("mention_weight")).where(F.col("n_mentions") > least)
     c = citations.groupBy("id").agg(F.count("*").alias("n_citations"))
